@@ -1,0 +1,6 @@
+"""No operator of this engine keeps state over a stream.
+
+Row-wise operators (``functions``, ``operators.columns``, ``apply_fitted``, ``impute`` with
+fitted means, ``mlp_score`` and ``plans.score_batch``) take a streaming DataFrame unchanged:
+``score_batch(spark.readStream..., ...).writeStream...``.
+"""
