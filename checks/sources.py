@@ -77,7 +77,7 @@ def scan_prepared_table(spark, sf):
 
 
 def write_prepared_count(spark, sf):
-    """Rows observed during the write beside the rows read back."""
+    """Rows reported by the write beside the rows read back."""
     path, n = _prepared(spark, sf)
     return scan_prepared(spark, path).agg(F.count(F.lit(1)).alias("n_read")).withColumn(
         "n_written", F.lit(n).cast("bigint")

@@ -9,4 +9,11 @@ Every operator is a function over DataFrames.  Import from the sub-packages:
 * ``tabstride.streaming`` the scoring flow on an unbounded input
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.ml import PredictionModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -14,14 +15,17 @@ from tabstride.constants import FOLDS, FOREST_GRID, SEED
 from tabstride.operators.splits import kfold
 
 SEARCHED = list(FOREST_GRID)
+MIN_PARTITIONS = 8
+ROWS_PER_PARTITION = 1_000_000
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
+def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Rows placed and ordered by key, so that a seeded fit does not depend on the input files.
 
-    ``partitions`` must be the same number wherever the fit is to be repeated; choose it so
-    that one partition fits a task.
+    The number of partitions follows from the number of rows unless it is given.
     """
+    if partitions is None:
+        partitions = max(MIN_PARTITIONS, ceil(df.count() / ROWS_PER_PARTITION))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -36,12 +40,15 @@ def rf_fit(
     params: Mapping | None = None,
     seed: int = SEED,
     key: str = "id",
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> RandomForestClassificationModel:
     """Fit a forest on ``features, label`` in a layout fixed by ``key``."""
-    return _forest(seed, params).fit(
-        fixed_layout(df.select(key, "features", "label"), key, partitions)
-    )
+    # Several passes read the rows: metadata, split candidates, then the trees.
+    placed = fixed_layout(df.select(key, "features", "label"), key, partitions).persist()
+    try:
+        return _forest(seed, params).fit(placed)
+    finally:
+        placed.unpersist()
 
 
 def param_grid(
@@ -60,7 +67,7 @@ def rf_cross_validate(
     folds: int = FOLDS,
     seed: int = SEED,
     key: str = "id",
-    partitions: int = 8,
+    partitions: int | None = None,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Search the grid by mean ROC area over hash folds; the best setting is refitted."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tabstride.constants import NET_EPOCHS, NET_LAYERS, NET_LEARNING_RATE, SEED
 from tabstride.functions import sigmoid
+from tabstride.operators.forest import ROWS_PER_PARTITION
 
 
 @dataclass(frozen=True)
@@ -174,13 +176,15 @@ def mlp_fit(
     first, second = np.zeros_like(flat), np.zeros_like(flat)
     # Adam decay rates and guard: fixed values.
     beta1, beta2, tiny = 0.9, 0.999, 1e-8
-    rows = df.select(
+    # One gradient row set per task: no more tasks than the cluster runs at once.
+    lanes = df.sparkSession.sparkContext.defaultParallelism
+    slim = df.select(
         *[F.col(f).cast("double") for f in feats],
         F.col(label).cast("double").alias("label"),
         F.col(key).alias("_key"),
-    ).persist()
-    # One gradient row set per task: no more tasks than the cluster runs at once.
-    lanes = df.sparkSession.sparkContext.defaultParallelism
+    )
+    # One shuffle spreads the rows evenly for all the steps that follow.
+    rows = slim.repartition(max(lanes, ceil(slim.count() / ROWS_PER_PARTITION)), "_key").persist()
     losses, step = [], 0
     try:
         for epoch in range(epochs):

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tabstride.functions import column_value
 from tabstride.operators.columns import literal_table, missing
-from tabstride.operators.quantiles import column_stats, long_values
-from tabstride.session import broadcast_if_small
+from tabstride.operators.quantiles import beside, column_stats, stack_columns
+from tabstride.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
 WHISKER = 1.5
@@ -141,10 +141,13 @@ def _moment_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
         total = sums if total is None else total + sums
     if total is not None:
-        part, a, b = np.indices(total.shape)
-        yield pd.DataFrame(
-            {"part": part.ravel(), "a": a.ravel(), "b": b.ravel(), "total": total.ravel()}
-        )
+        n, first, square, product = total
+        a, b = np.indices(n.shape)
+        columns = [a, b, n, first, first.T, square, square.T, product]
+        yield pd.DataFrame(np.column_stack([c.ravel() for c in columns]), columns=_MOMENTS)
+
+
+_MOMENTS = ["a", "b", "n", "sum_a", "sum_b", "sq_a", "sq_b", "prod"]
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -159,14 +162,9 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     means = wide.agg(*[F.avg(c).alias(c) for c in names]).first()
     centred = wide.select(*[(F.col(c) - F.lit(means[c] or 0.0)).alias(c) for c in names])
     sums = (
-        centred.mapInPandas(_moment_sums, "part int, a int, b int, total double")
-        .groupBy("a", "b")
-        .agg(*[F.sum(F.when(F.col("part") == i, F.col("total"))).alias(s)
-               for i, s in enumerate(["n", "sum_a", "sq_a", "prod"])])
-    )
-    swapped = sums.select(
-        F.col("a").alias("b"), F.col("b").alias("a"),
-        F.col("sum_a").alias("sum_b"), F.col("sq_a").alias("sq_b"),
+        centred.mapInPandas(_moment_sums, ", ".join(f"{c} double" for c in _MOMENTS))
+        .groupBy(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))
+        .agg(*[F.sum(c).alias(c) for c in _MOMENTS[2:]])
     )
     n = F.col("n")
     spread = {s: F.col(f"sq_{s}") - F.col(f"sum_{s}") ** 2 / n for s in "ab"}
@@ -180,9 +178,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         ),
     )
     name = F.array(*[F.lit(c) for c in names])
-    return sums.join(swapped, ["a", "b"]).select(
-        name[F.col("a")].alias("a"), name[F.col("b")].alias("b"), r.alias("r")
-    )
+    return sums.select(name[F.col("a")].alias("a"), name[F.col("b")].alias("b"), r.alias("r"))
 
 
 def histogram(df: DataFrame, c: str, bins: int | None = None) -> DataFrame:
@@ -238,21 +234,28 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str, **options) -> DataFra
     A whisker ends at the last datum within 1.5 interquartile ranges of the box.
     """
     q = F.col("quantiles")
-    reach = F.lit(WHISKER) * (q[2] - q[0])
-    boxes = column_stats(df, cols, QUARTILES, by=[by], **options).select(
-        F.col(by).alias("box_by"),
-        F.col("column").alias("box_column"),
-        q[0].alias("q1"),
-        q[1].alias("median"),
-        q[2].alias("q3"),
-        (q[0] - reach).alias("fence_lo"),
-        (q[2] + reach).alias("fence_hi"),
+    boxes = materialize(column_stats(df, cols, QUARTILES, by=[by], **options))
+    per_group = materialize(
+        boxes.groupBy(by).agg(
+            F.array(*[F.max(F.when(F.col("column") == c, q)) for c in cols]).alias("boxes")
+        )
     )
-    placed = long_values(df, cols, [by]).join(
-        broadcast_if_small(boxes),
-        F.col(by).eqNullSafe(F.col("box_by")) & (F.col("column") == F.col("box_column")),
+    wide = df.select(by, *[column_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    values = stack_columns(
+        beside(wide, per_group, [by]),
+        [by, "boxes"],
+        ["slot", "value"],
+        *[(F.lit(i), F.col(f"v{i}")) for i in range(len(cols))],
+    ).filter("value IS NOT NULL")
+    box = F.col("boxes")[F.col("slot")]
+    placed = values.select(
+        by,
+        F.array(*[F.lit(c) for c in cols])[F.col("slot")].alias("column"),
+        "value",
+        *[box[k].alias(name) for k, name in enumerate(["q1", "median", "q3"])],
     )
-    inside = F.col("value").between(F.col("fence_lo"), F.col("fence_hi"))
+    reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
+    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         placed.groupBy(by, "column", "q1", "median", "q3")
         .agg(

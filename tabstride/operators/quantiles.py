@@ -16,28 +16,46 @@ from tabstride.functions import column_value
 from tabstride.operators.running import SINGLE_TASK_ROWS, running_totals
 from tabstride.session import broadcast_if_small, materialize
 
-SKETCH_ACCURACY = 10_000
+# Sketch size; ranks are then right to about 1/7000 with high probability.
+SKETCH_SIZE = 32_768
+# Sketches of this many groups of tasks are merged before the last merge.
+MERGE_GROUPS = 256
 
 
-def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(by..., column, value)`` for the present values of ``cols``."""
-    wide = df.select(*by, *[column_value(c).alias(c) for c in cols])
-    return wide.unpivot(list(by), list(cols), "column", "value").filter("value IS NOT NULL")
+def stack_columns(wide: DataFrame, by: Sequence[str], names: Sequence[str], *rows) -> DataFrame:
+    """One row ``(by..., names...)`` per given row of expressions, for every input row."""
+    return wide.select(
+        *by, F.stack(F.lit(len(rows)), *[e for row in rows for e in row]).alias(*names)
+    )
 
 
-def _match(left: Sequence[str], prefix: str) -> Column:
+def match(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of every key with its prefixed twin."""
     condition = F.lit(True)
-    for k in left:
+    for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(prefix + k))
     return condition
 
 
+def beside(df: DataFrame, small: DataFrame, keys: Sequence[str], prefix: str = "k_") -> DataFrame:
+    """Each row of ``df`` with the row of ``small`` that has the same keys.
+
+    ``small`` has one row per key, so a single row without keys; it is stored already.
+    """
+    if not keys:
+        return df.crossJoin(F.broadcast(small))
+    renamed = small.select(*[F.col(k).alias(prefix + k) for k in keys],
+                           *[c for c in small.columns if c not in keys])
+    joined = df.join(broadcast_if_small(renamed), match(keys, prefix))
+    return joined.drop(*[prefix + k for k in keys])
+
+
 def column_stats(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    accuracy: int = SKETCH_ACCURACY,
+    sketch_size: int = SKETCH_SIZE,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Count, mean, std (n-1), min, max and exact quantiles per ``(by..., column)``.
@@ -45,85 +63,152 @@ def column_stats(
     ``quantiles`` is an array in the order of ``probs`` (which must ascend); between two
     data points the quantile is linear.  Null and NaN are left out.
     """
-    values = long_values(df, cols, by)
-    keys = [*by, "column"]
-    slack = 4.0 / accuracy
-    wanted = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = materialize(
-        values.groupBy(*keys).agg(
-            F.count("value").alias("n"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.percentile_approx("value", wanted, accuracy).alias("edges"),
-        )
-    )
-    exact = _pick_ranks(values, sketch, keys, probs, accuracy, single_task_rows)
-    missed = F.exists("lower_values", lambda v: v.isNull()) | F.exists(
-        "upper_values", lambda v: v.isNull()
-    )
-    if not exact.filter(missed).isEmpty():
+    wide = df.select(*by, *[column_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    sketch = materialize(_brackets(wide, len(cols), probs, by, sketch_size))
+    ranked = _rank_rows(wide, len(cols), sketch, probs, by, True, single_task_rows)
+    stats = _read_ranks(ranked, sketch, probs, by)
+    missed = F.exists("low", lambda v: v.isNull()) | F.exists("high", lambda v: v.isNull())
+    if not stats.filter(missed).isEmpty():
         # A bracket missed its rank: keep every distinct value instead.
-        exact = _pick_ranks(values, sketch, keys, probs, None, single_task_rows)
+        ranked = _rank_rows(wide, len(cols), sketch, probs, by, False, single_task_rows)
+        stats = _read_ranks(ranked, sketch, probs, by)
 
-    position = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     quantiles = []
-    for i, pos in enumerate(position):
-        low, high = F.col("lower_values")[i], F.col("upper_values")[i]
-        quantiles.append(low + (high - low) * (pos - F.floor(pos)))
-    joined = sketch.join(
-        broadcast_if_small(exact.select(*[F.col(k).alias(f"x_{k}") for k in keys],
-                                        "lower_values", "upper_values")),
-        _match(keys, "x_"),
+    for i, p in enumerate(probs):
+        low, high = F.col("low")[i], F.col("high")[i]
+        part = _position(p) - F.floor(_position(p))
+        quantiles.append(F.when(low == high, low).otherwise(low + (high - low) * part))
+    n = F.col("n")
+    variance = F.when(
+        n > 1, F.greatest(F.col("dev2") - F.col("dev") ** 2 / n, F.lit(0.0)) / (n - 1)
     )
-    return joined.select(
-        *keys, "n", "mean", "std", "min", "max", F.array(*quantiles).alias("quantiles")
+    names = F.array(*[F.lit(c) for c in cols])
+    return stats.select(
+        *by,
+        names[F.col("slot")].alias("column"),
+        "n",
+        (F.col("centre") + F.col("dev") / n).alias("mean"),
+        F.sqrt(variance).alias("std"),
+        "min",
+        "max",
+        F.array(*quantiles).alias("quantiles"),
     )
 
 
-def _pick_ranks(values, sketch, keys, probs, accuracy, single_task_rows) -> DataFrame:
-    """Values at the ranks around each probability; null where a bracket missed."""
-    edges = sketch.select(*[F.col(k).alias(f"s_{k}") for k in keys], "n", "edges")
-    placed = values.join(broadcast_if_small(edges), _match(keys, "s_"))
-    v = F.col("value")
-    if accuracy is None:
-        inside, below = F.lit(True), []
-    else:
-        inside = F.col("n") <= accuracy
-        below = []
-        for i in range(len(probs)):
-            low, high = F.col("edges")[2 * i], F.col("edges")[2 * i + 1]
+def _position(p: float) -> Column:
+    """Zero-based, possibly fractional rank of quantile ``p``."""
+    return F.lit(float(p)) * (F.col("n") - 1)
+
+
+def _brackets(wide, size: int, probs, by, sketch_size: int) -> DataFrame:
+    """``(by..., slot, n, edges, centre)``: two sketch quantiles around each probability.
+
+    Sketches are merged in two rounds, so no task takes in those of all tasks.
+    """
+    slack = 4.0 * 2.446 / sketch_size**0.9433
+    wanted = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    values = stack_columns(
+        wide, by, ["slot", "value"], *[(F.lit(i), F.col(f"v{i}")) for i in range(size)]
+    ).filter("value IS NOT NULL")
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
+    sketches = (
+        values.groupBy(*by, "slot", group)
+        .agg(F.kll_sketch_agg_double("value", sketch_size).alias("part"))
+        .groupBy(*by, "slot")
+        .agg(F.kll_merge_agg_double("part", sketch_size).alias("whole"))
+    )
+    levels = F.array(*[F.lit(float(q)) for q in [*wanted, 0.5]])
+    read = sketches.select(
+        *by,
+        "slot",
+        F.kll_sketch_get_n_double("whole").alias("n"),
+        F.kll_sketch_get_quantile_double("whole", levels).alias("levels"),
+    )
+    middle = F.col("levels")[len(wanted)]
+    # A few rows are ranked whole; the sketch says nothing about neighbours then.
+    narrow = F.col("n") > sketch_size
+    edges = [
+        F.when(narrow, F.col("levels")[i]).otherwise(
+            F.lit(float("inf") if i % 2 else float("-inf"))
+        )
+        for i in range(len(wanted))
+    ]
+    return read.select(
+        *by,
+        "slot",
+        "n",
+        F.array(*edges).alias("edges"),
+        F.when(F.abs(middle) < float("inf"), middle).otherwise(F.lit(0.0)).alias("centre"),
+    )
+
+
+def _rank_rows(wide, size, sketch, probs, by, narrow: bool, single_task_rows) -> DataFrame:
+    """Distinct points with their number of copies and the running total of copies.
+
+    A value outside all brackets is folded into the gap after the bracket below it.
+    """
+    slots = [F.col("slot") == i for i in range(size)]
+    frames = materialize(
+        sketch.groupBy(*by).agg(
+            F.array(*[F.max(F.when(s, F.col("edges"))) for s in slots]).alias("all_edges"),
+            F.array(*[F.max(F.when(s, F.col("centre"))) for s in slots]).alias("centres"),
+        )
+    )
+    # The brackets are looked up by slot, so the code per value does not grow with the columns.
+    values = stack_columns(
+        beside(wide, frames, by),
+        [*by, "all_edges", "centres"],
+        ["slot", "value"],
+        *[(F.lit(i), F.col(f"v{i}")) for i in range(size)],
+    ).filter("value IS NOT NULL")
+    v, start = F.col("value"), F.lit(float("-inf"))
+    inside, passed = F.lit(not narrow), start
+    if narrow:
+        edges = F.col("all_edges")[F.col("slot")]
+        pairs = [(edges[2 * p], edges[2 * p + 1]) for p in range(len(probs))]
+        for low, high in pairs:
             inside = inside | v.between(low, high)
-            below.append(F.when(high < v, high))
-    floor = F.lit(float("-inf"))
-    gap_start = F.coalesce(F.greatest(floor, *below), floor) if below else floor
+        passed = F.greatest(start, *[F.when(high < v, high) for _, high in pairs])
     counts = (
-        placed.select(
-            *keys,
-            "n",
-            F.when(inside, v).otherwise(gap_start).alias("point"),
+        values.select(
+            *by,
+            "slot",
+            "value",
+            F.when(inside, v).otherwise(passed).alias("point"),
             F.when(inside, 0).otherwise(1).alias("gap"),
+            (v - F.col("centres")[F.col("slot")]).alias("deviation"),
+        )
+        .groupBy(*by, "slot", "point", "gap")
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.sum("deviation").alias("dev"),
+            F.sum(F.col("deviation") * F.col("deviation")).alias("dev2"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
         )
-        .groupBy(*keys, "n", "point", "gap")
-        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    ranked = running_totals(
-        counts, [F.col("point"), F.col("gap")], ["copies"], keys, single_task_rows
+    return running_totals(
+        counts, [F.col("point"), F.col("gap")], ["copies"], [*by, "slot"], single_task_rows
     )
+
+
+def _read_ranks(ranked, sketch, probs, by) -> DataFrame:
+    """Moments and the values at the ranks around each probability; null where missed."""
+    keys = [*by, "slot"]
+    placed = beside(ranked, sketch.select(*keys, "n", "centre"), keys)
     first = F.col("cum_copies") - F.col("copies")
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("gap") == 0) & (first <= rank) & (rank < F.col("cum_copies"))
         return F.max(F.when(hit, F.col("point")))
 
-    lower, upper = [], []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        lower.append(at_rank(F.floor(pos)))
-        upper.append(at_rank(F.ceil(pos)))
-    return ranked.groupBy(*keys).agg(
-        F.array(*lower).alias("lower_values"), F.array(*upper).alias("upper_values")
+    return placed.groupBy(*keys, "n", "centre").agg(
+        F.array(*[at_rank(F.floor(_position(p))) for p in probs]).alias("low"),
+        F.array(*[at_rank(F.ceil(_position(p))) for p in probs]).alias("high"),
+        F.sum("dev").alias("dev"),
+        F.sum("dev2").alias("dev2"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
     )
 
 
