@@ -32,7 +32,7 @@ def report(part):
     def run(spark, sf):
         rows = label_threshold(activities_with_gaps(spark, sf))
         tables = profile_report(rows, NUMBERS, ["document_journal"], "compound_id", "active")
-        return tables[part]
+        return tables[part]()
 
     return run
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import cache, partial
 
 from pyspark.sql import DataFrame
 
@@ -29,30 +30,36 @@ def profile_report(
     categories: Sequence[str] = (),
     text: str | None = None,
     label: str | None = None,
-) -> dict[str, DataFrame]:
-    """Tables of the profile by name; each is computed when it is read.
+) -> dict[str, Callable[[], DataFrame]]:
+    """The tables of a profile by name; call one to compute it.
 
-    Numeric summaries cover all columns in one pass.  Store ``df`` first if it is costly.
+    The numeric summary covers all columns at once and also sets the histograms' bins, so
+    it is computed only once.  Store ``df`` first if it is costly.
     """
-    summary = materialize(describe_numeric(df, numeric))
+
+    @cache
+    def summary() -> DataFrame:
+        return materialize(describe_numeric(df, numeric))
+
+    def auto_histogram(c: str) -> DataFrame:
+        return histogram(df, c, auto_bins_from(summary().filter(summary()["column"] == c).first()))
+
     report = {
-        "row_count": row_count(df),
-        "null_counts": null_counts(df),
-        "schema": schema_profile(df),
+        "row_count": partial(row_count, df),
+        "null_counts": partial(null_counts, df),
+        "schema": partial(schema_profile, df),
         "describe": summary,
-        "correlation": corr_matrix(df, numeric),
+        "correlation": partial(corr_matrix, df, numeric),
     }
-    # One bounded row per profiled column.
-    for stats in summary.collect():
-        name = stats["column"]
-        report[f"histogram.{name}"] = histogram(df, name, auto_bins_from(stats))
+    for c in numeric:
+        report[f"histogram.{c}"] = partial(auto_histogram, c)
     for c in categories:
-        report[f"values.{c}"] = value_counts(df, c)
-        report[f"share.{c}"] = share_by_category(df, c)
+        report[f"values.{c}"] = partial(value_counts, df, c)
+        report[f"share.{c}"] = partial(share_by_category, df, c)
     if text is not None:
-        report[f"describe.{text}"] = describe_string(df, text)
-        report[f"distinct.{text}"] = count_distinct(df, text)
+        report[f"describe.{text}"] = partial(describe_string, df, text)
+        report[f"distinct.{text}"] = partial(count_distinct, df, text)
     if label is not None:
-        report[f"share.{label}"] = share_by_category(df, label)
-        report[f"box.{label}"] = box_stats(df, numeric, label)
+        report[f"share.{label}"] = partial(share_by_category, df, label)
+        report[f"box.{label}"] = partial(box_stats, df, numeric, label)
     return report

@@ -18,6 +18,7 @@ from tabstride.operators import profile as P
 from tabstride.operators.quantiles import column_stats, median_stats
 from tabstride.operators.running import running_totals
 from tabstride.operators.splits import kfold, random_split, sample_errors, stratified_split
+from tabstride.plans import profile_report
 
 FEW = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -304,6 +305,20 @@ def test_missing_values_in_profiles(spark):
     assert P.describe_numeric(empty, ["x"]).count() == 0
 
 
+def test_profile_report_agrees_with_its_parts(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"x": rng.normal(size=400), "y": rng.integers(0, 9, 400).astype(float),
+                        "c": rng.choice(["a", "b"], 400), "label": rng.integers(0, 2, 400)})
+    df = spark.createDataFrame(pdf)
+    report = profile_report(df, ["x", "y"], ["c"], "c", "label")
+    assert {r["column"]: r["count"] for r in report["describe"]().collect()} == {"x": 400, "y": 400}
+    for c in "xy":
+        n, _ = np.histogram(pdf[c], "auto")
+        assert [r["n"] for r in report[f"histogram.{c}"]().orderBy("bin").collect()] == n.tolist()
+    for name, table in report.items():
+        assert table().count() > 0, name
+
+
 def test_positive_probability(spark):
     df = spark.createDataFrame([(Vectors.dense([0.3, 0.7]),)], ["probability"])
     assert df.select(vector_to_array("probability")[1]).first()[0] == 0.7
