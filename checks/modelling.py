@@ -283,7 +283,7 @@ def _scaler_sql(spread: str, prefix, source: str, where: str = "") -> str:
 
 def _scale_sql(same: str) -> str:
     stats = ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in FEATURES)
-    cols = ", ".join(f"round(({f}-m_{f})/s_{f}, 6) AS {f}" for f in FEATURES)
+    cols = ", ".join(f"round(({f}-m_{f})/s_{f}, 6) + 0.0::double AS {f}" for f in FEATURES)
     return with_v1(
         f"SELECT id, {same} AS same, {cols} FROM v1 CROSS JOIN (SELECT {stats} FROM v1) s"
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.views import (
     FEATURES,
     activities,
@@ -163,7 +161,7 @@ FROM v1"""),
         "SELECT label, count(*)", "SELECT label AS active, count(*)"
     ),
     "corr_matrix": with_v2(" UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, round(r{i}, 4) AS r FROM c"
+        f"SELECT '{a}' AS a, '{b}' AS b, round(r{i}, 4) + 0.0::double AS r FROM c"
         for i, (a, b) in enumerate(_PAIRS)
     )).replace("\nSELECT 'standard_value' AS a", ", c AS (SELECT " + ", ".join(
         f"corr({a}, {b}) AS r{i}" for i, (a, b) in enumerate(_PAIRS)

@@ -233,7 +233,7 @@ SELECT id, label, r*5 <= n AS is_test FROM (
          count(*) OVER (PARTITION BY label) AS n FROM v3) w"""),
     "kfold": with_v1(f"SELECT id, ({BUCKET_SQL} % 3)::int AS fold FROM v1"),
     "sigmoid": with_v1("SELECT id, round(1/(1+exp(-f7/1000)), 6) AS y FROM v1"),
-    "logit": with_v1("SELECT id, round(ln((f6+0.5)/(1-(f6+0.5))), 6) AS y FROM v1"),
+    "logit": with_v1("SELECT id, round(ln((f6+0.5)/(1-(f6+0.5))), 6) + 0.0::double AS y FROM v1"),
     "relu": with_v1("SELECT id, greatest(f7, 0.0::double) AS y FROM v1"),
     "fill_missing": with_v2("SELECT id, coalesce(f3, -1.0::double) AS f3 FROM v2"),
     "casts": with_v1(
@@ -241,7 +241,7 @@ SELECT id, label, r*5 <= n AS is_test FROM (
         "try_cast(raw_value AS double) AS number FROM v1"
     ),
     "standard_score": with_v1(
-        "SELECT id, round((f1-m)/s, 6) AS z FROM v1 "
+        "SELECT id, round((f1-m)/s, 6) + 0.0::double AS z FROM v1 "
         "CROSS JOIN (SELECT avg(f1) AS m, stddev_pop(f1) AS s FROM v1) t"
     ),
 }

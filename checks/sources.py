@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.views import (
@@ -22,7 +23,6 @@ from tabstride.session import scratch_path
 from tabstride.sources.artefacts import load_scaler, log_metrics_table, read_runs, save_scaler
 from tabstride.sources.pages import filter_activities, ingest_pages, union_pages
 from tabstride.sources.tables import scan_csv, scan_prepared, write_csv, write_prepared
-from pyspark.ml.functions import vector_to_array
 
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
 
@@ -107,8 +107,9 @@ def logged_metrics(spark, sf):
     )
 
 
+# Adding zero turns a rounded -0.0 into 0.0, as Spark rounds it.
 SCALED_SQL = ", ".join(
-    f"round(({f}-m_{f})/s_{f}, 6) AS {f}" for f in FEATURES
+    f"round(({f}-m_{f})/s_{f}, 6) + 0.0::double AS {f}" for f in FEATURES
 )
 STATS_SQL = ", ".join(f"avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}" for f in FEATURES)
 PREPARED_SQL = with_v1(f"""
