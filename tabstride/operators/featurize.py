@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 NativeKernel = Callable[[Column], Column]
 RowKernel = Callable[[str], Mapping[str, float] | None]
@@ -25,25 +24,25 @@ def python_kernel(function: RowKernel, names: Sequence[str]) -> NativeKernel:
     The values travel in Arrow batches.  A null input gives null without a call.
     """
     names = list(names)
-    schema = T.StructType(
-        [T.StructField("valid", T.BooleanType())]
-        + [T.StructField(n, T.DoubleType()) for n in names]
-    )
 
-    def describe(text: str | None) -> tuple:
+    def describe(text: str | None) -> list[float] | None:
         numbers = None if text is None else function(text)
-        if numbers is None:
-            return (False, *[None] * len(names))
-        return (True, *[float(numbers[n]) for n in names])
+        return None if numbers is None else [float(numbers[n]) for n in names]
 
-    @F.pandas_udf(schema)
-    def batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def batches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            rows = [describe(t) for t in batch]
-            yield pd.DataFrame(rows, columns=["valid", *names])
+            yield pd.Series([describe(t) for t in batch], dtype=object)
+
+    # Kept from being pushed into a filter, where a costly kernel would run a second time.
+    once = batches.asNondeterministic()
+
+    def named(values: Column) -> Column:
+        fields = [values[i].alias(n) for i, n in enumerate(names)]
+        return F.when(values.isNotNull(), F.struct(*fields))
 
     def kernel(c: Column) -> Column:
-        result = batches(c)
-        return F.when(result["valid"], F.struct(*[result[n].alias(n) for n in names]))
+        # The lambda binds the result, so the function is called once for all fields.
+        return F.transform(F.array(once(c)), named)[0]
 
     return kernel
