@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabstride.llm import quality
+from tabstride.llm import bpe, quality
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -12,6 +14,16 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
 
 
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode(_documents(spark, sf), path, decoded=True).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.repetition_profile(_documents(spark, sf)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -19,4 +31,4 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op5_bpe, op6_quality_rules)}
