@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, quality
+from tabstride.llm import bpe, packing, quality
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -14,6 +14,12 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
 
 
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, path, locality=["source"], with_ids=False)
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(_documents(spark, sf), path, decoded=True).select(
@@ -31,4 +37,4 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_bpe, op6_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op5_bpe, op6_quality_rules)}
