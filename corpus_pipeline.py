@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabstride.llm.neardup import keep_one
+from tabstride.llm.packing import pack
 from tabstride.llm.quality import keep_quality
+from tabstride.llm.spans import drop_repeats
 from tabstride.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +22,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_quality(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the sentences that an earlier document or place has already."""
+    cleaned = drop_repeats(docs)
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+    return cleaned.withColumn("n_chars", F.coalesce(length, "n_chars")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(docs, path, locality=["source"], with_ids=False)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("packing", packing),
 ]
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, neardup, packing, quality
+from tabstride.llm import bpe, neardup, packing, quality, spans
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -25,6 +25,10 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, sf), rules=rules)
 
 
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.drop_repeats(_documents(spark, sf))
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(_documents(spark, sf), path, decoded=True).select(
@@ -42,4 +46,4 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op5_bpe, op6_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_substring_dedup, op5_bpe, op6_quality_rules)}
