@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabstride.llm.licenses import scan_sql
 from tabstride.llm.quality import QualityRules
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,6 +59,7 @@ def quality_sql(source: str = "documents", rules: QualityRules = _RULES) -> str:
 
 
 ORACLES = {
+    "op4_license_scan": scan_sql(),
     "op6_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
           CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,

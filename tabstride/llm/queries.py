@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, neardup, packing, quality, spans
+from tabstride.llm import bpe, licenses, neardup, packing, quality, spans
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -29,6 +29,10 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spans.drop_repeats(_documents(spark, sf))
 
 
+def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf)).drop("places")
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(_documents(spark, sf), path, decoded=True).select(
@@ -46,4 +50,14 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_substring_dedup, op5_bpe, op6_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_minhash,
+        op3_substring_dedup,
+        op4_license_scan,
+        op5_bpe,
+        op6_quality_rules,
+    )
+}
