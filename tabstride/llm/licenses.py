@@ -100,7 +100,10 @@ def build_index(
     key_phrases: Mapping[str, str] = KEY_PHRASES,
     rare_words: int = 8,
 ) -> list[Template]:
-    """The index; a phrase is listed under its single rarest word, a text under several."""
+    """The index; a phrase is listed under its single rarest word, a text under several.
+
+    Of words found in equally many templates the longer one counts as rarer.
+    """
     split = lambda text: text.split(" ")
     texts = [set(split(t)) for t in [*phrases, *templates.values()]]
     found = Counter(w for t in texts for w in t)
@@ -108,7 +111,7 @@ def build_index(
 
     def rarest(words: Sequence[str], n: int) -> tuple[tuple[str, int], ...]:
         once = {w: i for i, w in reversed(list(enumerate(words)))}
-        return tuple(sorted(once.items(), key=lambda x: (-idf[x[0]], x[1]))[:n])
+        return tuple(sorted(once.items(), key=lambda x: (-idf[x[0]], -len(x[0]), x[1]))[:n])
 
     index = [
         Template(label, rarest(split(text), 1), tuple(split(text)), 0, True)
