@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, licenses, neardup, packing, quality, spans
+from tabstride.llm import bpe, licenses, neardup, packing, quality, spans, urls
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -50,6 +50,10 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -59,5 +63,6 @@ QUERIES = {
         op4_license_scan,
         op5_bpe,
         op6_quality_rules,
+        op8_url_filter,
     )
 }
