@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, licenses, neardup, packing, quality, spans, urls
+from tabstride.llm import bpe, embeddings, licenses, neardup, packing, quality, spans, urls
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -54,6 +54,10 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,5 +68,6 @@ QUERIES = {
         op5_bpe,
         op6_quality_rules,
         op8_url_filter,
+        op10_embedding_dedup,
     )
 }
