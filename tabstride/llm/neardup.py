@@ -189,8 +189,9 @@ def _links(groups: DataFrame, sets: DataFrame, rules: NearDup) -> DataFrame:
     blocks = F.greatest(
         F.ceil(F.col("rows") / rules.block_rows), F.ceil(F.col("total") / rules.block_values)
     )
+    blocks = stored(sizes.select("lead", blocks.cast("int").alias("blocks")), "group_sizes")
     dealt = (
-        groups.join(sizes.select("lead", blocks.cast("int").alias("blocks")), "lead")
+        groups.join(broadcast_if_small(blocks), "lead")
         .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
