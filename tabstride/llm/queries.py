@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, embeddings, licenses, neardup, packing, quality, spans, urls
+from tabstride.llm import bpe, embeddings, html, licenses, neardup, packing, quality, spans, urls
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -50,6 +50,10 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
 def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES = {
         op4_license_scan,
         op5_bpe,
         op6_quality_rules,
+        op7_html_extraction,
         op8_url_filter,
         op10_embedding_dedup,
     )
