@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, embeddings, html, licenses, neardup, packing, quality, spans, urls
+from tabstride.llm import bpe, embeddings, html, licenses, neardup, packing, quality, quotes, spans, urls
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -58,6 +58,10 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf}/pages.parquet"))
 
 
+def op9_quotation_linking(spark: SparkSession, sf: str) -> DataFrame:
+    return quotes.link_replies(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
@@ -73,6 +77,7 @@ QUERIES = {
         op6_quality_rules,
         op7_html_extraction,
         op8_url_filter,
+        op9_quotation_linking,
         op10_embedding_dedup,
     )
 }
