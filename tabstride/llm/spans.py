@@ -2,8 +2,10 @@
 
 A text is cut into sentences; every run of several consecutive ones is hashed.  A run found
 more than once keeps its first place (smallest id, then earliest sentence), and all sentences
-that another occurrence covers are removed.  Runs are hashed in numpy; one grouped minimum and
-one join on the hash find the repeats, and only repeated runs reach the documents again.
+that another occurrence covers are removed.  Runs are hashed in numpy; a grouped count of the
+hashes leaves the few that repeat, and only their runs are gathered, compared and brought back
+to the documents.  Joins on a hash have plain shuffles on both sides, so a frequent passage is
+split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabstride.llm.components import stored
 from tabstride.llm.hashing import _BASE, mix, text_slices, words
 
 
@@ -98,7 +101,7 @@ def hash_runs(s: Sentences, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _run_table(df: DataFrame, id_col: str, text_col: str, rules: SpanRules) -> DataFrame:
-    """``h, id, k, i, n`` per run; ``k`` tells texts with the same id apart."""
+    """``h, id, k, run`` per run: its hash, the text's id and hash, and ``i * 2**32 + n``."""
     kind = dict(df.select(id_col).dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,29 +115,27 @@ def _run_table(df: DataFrame, id_col: str, text_col: str, rules: SpanRules) -> D
                     pa.array(hashes.view(np.int64)),
                     part.column(0).take(pa.array(owner)),
                     part.column(1).take(pa.array(owner)),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(count.astype(np.int32)),
+                    pa.array(place << 32 | count),
                 ],
-                ["h", "id", "k", "i", "n"],
+                ["h", "id", "k", "run"],
             )
 
     text = F.col(text_col).cast("string")
     narrow = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
-    return narrow.mapInArrow(run, f"h long, id {kind}, k long, i int, n int")
+    return narrow.mapInArrow(run, f"h long, id {kind}, k long, run long")
 
 
 def repeated_runs(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: SpanRules | None = None
 ) -> DataFrame:
-    """``id, k, runs``: per text the runs ``(i, n)`` that stand somewhere else before."""
+    """``id, k, runs``: per text the runs that stand somewhere else before."""
     runs = _run_table(df, id_col, text_col, rules or SpanRules())
-    place = F.struct("id", "k", "i")
-    firsts = (
-        runs.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
-    )
-    later = runs.join(firsts, "h").filter(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("id", "k").agg(F.collect_set(F.struct("i", "n")).alias("runs"))
+    often = stored(runs.groupBy("h").count().filter("count > 1").select("h"), "often")
+    repeats = stored(runs.join(often, "h"), "repeats")
+    place = F.struct("id", "k", "run")
+    firsts = stored(repeats.groupBy("h").agg(F.min(place).alias("first")), "firsts")
+    later = repeats.join(firsts, "h").filter(~place.eqNullSafe(F.col("first")))
+    return later.groupBy("id", "k").agg(F.collect_set("run").alias("runs"))
 
 
 def drop_repeats(
@@ -163,11 +164,12 @@ def drop_repeats(
         T.StructField("n_removed", T.LongType()),
     ])
 
-    def rewrite(data: np.ndarray, runs: list[dict]) -> tuple[str, int]:
+    def rewrite(data: np.ndarray, runs: list[int]) -> tuple[str, int]:
         s = cut_sentences(data, np.array([0, len(data)]), rules)
+        first, count = np.array(runs, np.int64) >> 32, np.array(runs, np.int64) & 0xFFFFFFFF
         edges = np.zeros(len(s.texts) + 1, np.int64)
-        np.add.at(edges, [r["i"] for r in runs], 1)
-        np.add.at(edges, [r["i"] + r["n"] for r in runs], -1)
+        np.add.at(edges, first, 1)
+        np.add.at(edges, first + count, -1)
         covered = np.cumsum(edges[:-1]) > 0
         drop = np.zeros(len(data) + 1, np.int64)
         begin, end = s.starts, np.r_[s.starts[1:], len(data)]
