@@ -64,11 +64,12 @@ def featurized_python(spark, sf):
 
 
 def labelled_documents(spark, sf):
-    """Descriptors of the labelled documents, joined to their quality."""
+    """Descriptors of all documents, with the quality of the labelled ones, -1 for the rest."""
     texts = table(spark, sf, "documents").select("doc_id", "text")
     rows = featurize(texts, "text", text_descriptors)
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    return rounded(rows.join(labels, "doc_id").select("doc_id", "label", *TEXT_DESCRIPTORS))
+    return rounded(rows.join(labels, "doc_id", "left").select(
+        "doc_id", F.coalesce("label", F.lit(-1)).alias("label"), *TEXT_DESCRIPTORS))
 
 
 def assembled(spark, sf):
@@ -302,11 +303,11 @@ _SCORE = with_v1(
 
 ORACLES = {
     "featurize": _DESCRIBED.format(keys="doc_id, lang")
-    + "FROM documents WHERE doc_id % 13 <> 0",
-    "featurize_python": f"SELECT * FROM (SELECT doc_id, lang, {_VOWELS} FROM documents "
-    "WHERE doc_id % 13 <> 0) k WHERE n_a+n_e+n_i+n_o+n_u > 0",
-    "text_descriptors": _DESCRIBED.format(keys="doc_id, quality AS label")
-    + "FROM documents JOIN labels USING (doc_id)",
+    + "FROM documents",
+    "featurize_python": f"SELECT * FROM (SELECT doc_id, lang, {_VOWELS} FROM documents) k "
+    "WHERE n_a+n_e+n_i+n_o+n_u > 0",
+    "text_descriptors": _DESCRIBED.format(keys="doc_id, coalesce(quality, -1)::int AS label")
+    + "FROM documents LEFT JOIN labels USING (doc_id)",
     "assemble": with_v1(f"SELECT id, {_FEATS} FROM v1"),
     "assemble_skip": with_v2(f"SELECT id, {_FEATS} FROM v2 WHERE f3 IS NOT NULL"),
     "fit_scaler": _scaler_sql("stddev_samp", with_v2, "v2"),

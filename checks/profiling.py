@@ -100,14 +100,15 @@ def _describe_sql(digits: int) -> str:
     return with_v2(_each(NUMBERS, 'count({c}) AS "count", ' + columns, "v2"))
 
 
-def _histogram_sql(c: str, bins: str, source: str) -> str:
+def _histogram_sql(c: str, bins: str, source: str, kind: str, least: int) -> str:
     """Equal-width bins; ``bins`` is a number or an expression over n, lo, hi, q1, q3."""
     return f"""
-SELECT b.bin::int AS bin, round(lo + b.bin*w, 3) AS bin_start,
+SELECT b.bin::{kind} AS bin, round(lo + b.bin*w, 3) AS bin_start,
        round(lo + (b.bin+1)*w, 3) AS bin_end, coalesce(n, 0) AS n
 FROM (SELECT unnest(range(bins)) AS bin, lo, w FROM e) b
 LEFT JOIN (SELECT least(floor(({c}-lo)/w), bins-1)::bigint AS bin, count(*) AS n
            FROM {source}, e WHERE {c} IS NOT NULL GROUP BY 1) f ON f.bin = b.bin
+WHERE coalesce(n, 0) >= {least}
 """, f"""e AS (SELECT lo, hi, bins, (hi-lo)/bins AS w FROM (
   SELECT lo, hi, ({bins})::bigint AS bins FROM (
     SELECT min({c}) AS lo, max({c}) AS hi, count({c}) AS n,
@@ -119,7 +120,8 @@ AUTO_BINS = "ceil((hi-lo)/least((hi-lo)/(log2(n)+1), 2*(q3-q1)/pow(n, 1.0/3)))"
 
 def _histogram(c: str, bins: str, prefix) -> str:
     source = "v1" if prefix is with_v1 else "v2"
-    body, extent = _histogram_sql(c, bins, source)
+    kind, least = ("bigint", 1) if bins == AUTO_BINS else ("int", 0)
+    body, extent = _histogram_sql(c, bins, source, kind, least)
     head = prefix("").rstrip()
     return f"{head}, {extent}\n{body}"
 

@@ -80,9 +80,10 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents with an invalid (null) text in every thirteenth row."""
-    text = F.when(F.col("doc_id") % 13 != 0, F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", "lang", text.alias("text"))
+    """All documents, and one more row with an invalid (null) text for every thirteenth."""
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    invalid = rows.filter(F.col("doc_id") % 13 == 0).withColumn("text", F.lit(None).cast("string"))
+    return rows.unionByName(invalid)
 
 
 def json_pages(spark: SparkSession, sf: str) -> DataFrame:

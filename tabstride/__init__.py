@@ -6,7 +6,6 @@ Every operator is a function over DataFrames.  Import from the sub-packages:
 * ``tabstride.functions`` column expressions and row kernels
 * ``tabstride.operators`` relational, profiling, metric, feature and model operators
 * ``tabstride.plans``     end-to-end flows built from the operators
-* ``tabstride.streaming`` the scoring flow on an unbounded input
 """
 
 import sys

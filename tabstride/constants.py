@@ -29,10 +29,9 @@ SPARSE_ACTIVITY_COLUMNS = [
     "activity_comment",
 ]
 
-# Activity selection, page size and label edge (nM).
+# Activity selection and label edge (nM).
 DEFAULT_TARGET = "CHEMBL247"
 DEFAULT_STANDARD_TYPE = "IC50"
-PAGE_SIZE = 1000
 ACTIVE_BELOW = 1000.0
 
 # Decision thresholds: forest, net, and plain half.

@@ -4,6 +4,7 @@ from tabstride.functions.scalars import (
     hash_bucket,
     hash_order,
     logit,
+    named,
     relu,
     sigmoid,
     standard_score,
@@ -18,6 +19,7 @@ __all__ = [
     "hash_bucket",
     "hash_order",
     "logit",
+    "named",
     "relu",
     "sigmoid",
     "standard_score",

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 HASH_BUCKETS = 10_000
 
 
+def named(c: str) -> Column:
+    """The column of exactly this name, which may hold dots and other signs."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return named(c) if isinstance(c, str) else c
 
 
 def to_double(c: Column | str) -> Column:
@@ -37,7 +42,8 @@ def logit(p: Column | str) -> Column:
 
 
 def relu(x: Column | str) -> Column:
-    return F.greatest(F.lit(0.0), _col(x))
+    """The positive part; null stays null and NaN stays NaN."""
+    return F.when(_col(x).isNotNull(), F.greatest(F.lit(0.0), _col(x)))
 
 
 def standard_score(x: Column | str, mean: float, std: float) -> Column:
@@ -45,8 +51,14 @@ def standard_score(x: Column | str, mean: float, std: float) -> Column:
 
 
 def hash_order(key: Column | str, seed: int) -> Column:
-    """Pseudo-random sort key that depends only on the seed and the row key."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), _col(key).cast("string")))
+    """Pseudo-random sort key that depends only on the seed and the row key.
+
+    A null key is an error: such a row would be in no part of a split.
+    """
+    text = F.coalesce(
+        _col(key).cast("string"), F.raise_error(F.lit("null row key")).cast("string")
+    )
+    return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
 def hash_bucket(key: Column | str, seed: int, buckets: int = HASH_BUCKETS) -> Column:

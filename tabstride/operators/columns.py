@@ -8,8 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabstride.constants import ACTIVE_BELOW, DEFAULT_ID_COLUMNS, NET_THRESHOLD
-from tabstride.functions import column_value, to_double
+from tabstride.constants import (
+    ACTIVE_BELOW,
+    DEFAULT_ID_COLUMNS,
+    NET_THRESHOLD,
+    SPARSE_ACTIVITY_COLUMNS,
+)
+from tabstride.functions import column_value, named, to_double
 
 
 def select_features(df: DataFrame, feats: Sequence[str]) -> DataFrame:
@@ -17,10 +22,10 @@ def select_features(df: DataFrame, feats: Sequence[str]) -> DataFrame:
     missing = [f for f in feats if f not in df.columns]
     if missing:
         raise ValueError(f"Missing required feature columns: {missing}")
-    return df.select(*feats)
+    return df.select(*map(named, feats))
 
 
-def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def drop_columns(df: DataFrame, cols: Sequence[str] = SPARSE_ACTIVITY_COLUMNS) -> DataFrame:
     """``df`` without ``cols``; an unknown name is an error."""
     unknown = [c for c in cols if c not in df.columns]
     if unknown:
@@ -42,8 +47,8 @@ def drop_sparse_columns(df: DataFrame, max_null_frac: float) -> DataFrame:
 def missing(df: DataFrame, c: str) -> Column:
     """True for null, and for NaN in a floating column."""
     if dict(df.dtypes)[c] in ("double", "float"):
-        return F.col(c).isNull() | F.isnan(c)
-    return F.col(c).isNull()
+        return named(c).isNull() | F.isnan(named(c))
+    return named(c).isNull()
 
 
 def literal_table(*rows: Mapping[str, Column]) -> Column:
@@ -111,8 +116,8 @@ def apply_threshold(
     t: float = NET_THRESHOLD,
     out: str = "pred_active",
 ) -> DataFrame:
-    """1 when the probability is at or above ``t``, else 0."""
-    return df.withColumn(out, F.when(F.col(prob) >= F.lit(float(t)), 1).otherwise(0))
+    """1 when the probability is at or above ``t``, else 0; a missing one gives 0."""
+    return df.withColumn(out, F.when(column_value(prob) >= F.lit(float(t)), 1).otherwise(0))
 
 
 def positive_prob(df: DataFrame, out: str = "prob_active", vector: str = "probability") -> DataFrame:

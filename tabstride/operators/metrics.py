@@ -38,6 +38,13 @@ def checked_score(c: str) -> Column:
     )
 
 
+def checked_class(c: str) -> Column:
+    """Class 0 or 1; anything else, a missing one too, is an error."""
+    known = F.when(F.col(c).isin(0, 1), F.col(c))
+    wrong = F.raise_error(F.lit(f"class other than 0 and 1 in column {c}"))
+    return F.coalesce(known.cast("int"), wrong.cast("int"))
+
+
 def false_positives(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
@@ -57,7 +64,7 @@ def confusion_counts(
     weight: str | None = None,
 ) -> DataFrame:
     """One row ``tp, fp, fn, tn``."""
-    w, actual, predicted = _weight(weight), F.col(label), F.col(prediction)
+    w, actual, predicted = _weight(weight), checked_class(label), checked_class(prediction)
 
     def cell(a: int, p: int) -> Column:
         return F.coalesce(F.sum(F.when((actual == a) & (predicted == p), w)), F.lit(0))
@@ -184,7 +191,8 @@ def threshold_counts(
     """
     marks = sorted(set(float(t) for t in grid))
     scored = df.select(
-        F.col(label).alias("label"), checked_score(prob).alias("score"), _weight(weight).alias("w")
+        checked_class(label).alias("label"), checked_score(prob).alias("score"),
+        _weight(weight).alias("w"),
     )
     bucketed = Bucketizer(
         splits=[float("-inf"), *marks, float("inf")], inputCol="score", outputCol="place"
@@ -264,8 +272,8 @@ def score_counts(
     """Positives and negatives per distinct score."""
     w = _weight(weight)
     return df.groupBy(checked_score(prob).alias("score")).agg(
-        F.sum(F.when(F.col(label) == 1, w).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col(label) == 0, w).otherwise(0)).alias("neg"),
+        F.sum(F.when(checked_class(label) == 1, w).otherwise(0)).alias("pos"),
+        F.sum(F.when(checked_class(label) == 0, w).otherwise(0)).alias("neg"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabstride.constants import NET_EPOCHS, NET_LAYERS, NET_LEARNING_RATE, SEED
-from tabstride.functions import sigmoid
+from tabstride.functions import column_value, named, sigmoid
 from tabstride.operators.forest import ROWS_PER_PARTITION
 
 
@@ -88,6 +88,8 @@ def net_logit(feats: Sequence[str | Column], weights: NetWeights) -> Column:
     @F.pandas_udf("double")
     def forward(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
+            # A single feature comes as a series of its own.
+            columns = columns if isinstance(columns, tuple) else (columns,)
             x = np.column_stack([c.to_numpy(float) for c in columns])
             yield pd.Series(_forward(layers, x)[-1][:, 0])
 
@@ -113,8 +115,14 @@ def bce(z: Column | str, y: Column | str) -> Column:
 def epoch_loss(
     df: DataFrame, feats: Sequence[str], weights: NetWeights, label: str = "label"
 ) -> DataFrame:
-    """Mean loss over all rows."""
-    scored = df.select(net_logit(feats, weights).alias("z"), F.col(label).alias("y"))
+    """Mean loss over all rows; a row without a feature or a label is an error."""
+    scored = df.select(net_logit(feats, weights).alias("_z"), named(label).alias("_y")).select(
+        *[
+            F.coalesce(column_value(c), F.raise_error(F.lit("missing value in a row")).cast("double"))
+            .alias(out)
+            for c, out in (("_z", "z"), ("_y", "y"))
+        ]
+    )
     return scored.agg(F.avg(bce("z", "y")).alias("loss"))
 
 

@@ -181,32 +181,48 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return sums.select(name[F.col("a")].alias("a"), name[F.col("b")].alias("b"), r.alias("r"))
 
 
-def histogram(df: DataFrame, c: str, bins: int | None = None) -> DataFrame:
-    """Counts in equal-width bins between min and max, empty bins included.
-
-    Bins are closed on the left, the last one on both sides.  Without ``bins`` the number
-    comes from :func:`auto_bins`.  A constant column gets a range of width one around it.
+def histogram(
+    df: DataFrame,
+    c: str,
+    bins: int | None = None,
+    extent: tuple[float, float] | None = None,
+    keep_empty: bool | None = None,
+) -> DataFrame:
+    """Counts in equal-width bins between min and max.
+
+    Bins are closed on the left, the last one on both sides.  Without ``bins`` number and
+    extent come from :func:`describe_numeric`.  As a long tail can make that number huge, only
+    bins that hold values are then returned; given ``bins`` are returned with the empty ones
+    unless ``keep_empty`` says otherwise.  ``extent`` saves the pass that finds min and max.
+    A constant column gets a range of width one around it.
     """
-    count = bins if bins is not None else auto_bins(df, c)
+    if keep_empty is None:
+        keep_empty = bins is not None
+    if bins is None:
+        stats = describe_numeric(df, [c]).first()
+        bins, extent = auto_bins_from(stats), (stats["min"], stats["max"]) if stats else None
     values = df.select(column_value(c).alias("x")).filter("x IS NOT NULL")
-    extent = values.agg(F.min("x").alias("x0"), F.max("x").alias("x1")).select(
-        F.when(F.col("x0") < F.col("x1"), F.col("x0")).otherwise(F.col("x0") - 0.5).alias("lo"),
-        F.when(F.col("x0") < F.col("x1"), F.col("x1")).otherwise(F.col("x1") + 0.5).alias("hi"),
-    )
-    width = (F.col("hi") - F.col("lo")) / F.lit(count)
-    place = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(count - 1).cast("bigint"))
-    filled = (
-        values.crossJoin(F.broadcast(extent))
-        .groupBy(place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    frame = df.sparkSession.range(count).withColumnRenamed("id", "bin").crossJoin(
-        F.broadcast(extent.filter("lo IS NOT NULL"))
-    )
-    return frame.join(filled, "bin", "left").select(
-        F.col("bin").cast("int").alias("bin"),
-        (F.col("lo") + F.col("bin") * width).alias("bin_start"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+    if extent is None:
+        found = values.agg(F.min("x"), F.max("x")).first()
+        extent = (found[0], found[1])
+    kind = "int" if keep_empty else "bigint"
+    if extent[0] is None:
+        return df.sparkSession.createDataFrame(
+            [], f"bin {kind}, bin_start double, bin_end double, n bigint"
+        )
+    lo, hi = map(float, extent)
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (F.lit(hi) - F.lit(lo)) / F.lit(bins)
+    place = F.least(F.floor((F.col("x") - F.lit(lo)) / width), F.lit(bins - 1).cast("bigint"))
+    placed = values.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    if keep_empty:
+        every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+        placed = every.join(placed, "bin", "left")
+    return placed.select(
+        F.col("bin").cast(kind).alias("bin"),
+        (F.lit(lo) + F.col("bin") * width).alias("bin_start"),
+        (F.lit(lo) + (F.col("bin") + 1) * width).alias("bin_end"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabstride.session import broadcast_if_small, materialize
 
-# Largest ordered run that one task may scan.
+# Rows of an ordered range, which one task sums.
 SINGLE_TASK_ROWS = 1_000_000
 
 
@@ -23,22 +23,13 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<name>`` (inclusive, in ``order``, per ``keys``) for each name in ``sums``.
 
-    The input is stored once and counted.  Up to ``single_task_rows`` rows an ordinary
-    window is used.  A larger table is split into ordered ranges; each range is summed on
-    its own and shifted by the total of the ranges before it, so no task ever holds more
-    than about one range.  Rows should be unique in ``(keys, order)``: group them first.
+    The input is stored once, counted and split into ordered ranges of about
+    ``single_task_rows`` rows; each range is summed on its own and shifted by the total of the
+    ranges before it, so no task ever holds more than about one range.  A small table is the
+    case of one range.  Rows should be unique in ``(keys, order)``: group them first.
     """
     stored = materialize(df)
-    rows = stored.count()
-    if rows <= single_task_rows:
-        window = (
-            Window.partitionBy(*keys)
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return stored.select("*", *[F.sum(s).over(window).alias(f"cum_{s}") for s in sums])
-
-    ranges = 2 * ceil(rows / single_task_rows)
+    ranges = max(1, ceil(stored.count() / single_task_rows))
     # The range number is stored with the row, so both reads below agree on it.
     ranged = materialize(
         stored.repartitionByRange(
@@ -50,8 +41,8 @@ def running_totals(
         .orderBy("range_no")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = materialize(
-        ranged.groupBy(*keys, "range_no").agg(*[F.sum(s).alias(f"sum_{s}") for s in sums])
+    offsets = ranged.groupBy(*keys, "range_no").agg(
+        *[F.sum(s).alias(f"sum_{s}") for s in sums]
     ).select(
         *[F.col(k).alias(f"off_{k}") for k in keys],
         F.col("range_no").alias("off_range_no"),

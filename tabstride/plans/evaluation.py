@@ -12,6 +12,7 @@ from tabstride.operators.columns import apply_threshold, positive_prob
 from tabstride.operators.forest import predict_forest
 from tabstride.operators.metrics import (
     auc_of,
+    checked_class,
     checked_score,
     classification_report,
     compare_thresholds,
@@ -35,7 +36,7 @@ def decided(model, df: DataFrame, t: float = FOREST_THRESHOLD) -> DataFrame:
 
 def _outcomes(scored: DataFrame, extra: Sequence[str]) -> DataFrame:
     """Row counts per distinct score and outcome, stored once for all metrics."""
-    keys = ["label", *extra]
+    keys = [checked_class(c).alias(c) for c in ("label", *extra)]
     return materialize(
         scored.groupBy(*keys, checked_score("prob").alias("prob")).agg(
             F.count(F.lit(1)).alias("copies")

@@ -42,7 +42,9 @@ def profile_report(
         return materialize(describe_numeric(df, numeric))
 
     def auto_histogram(c: str) -> DataFrame:
-        return histogram(df, c, auto_bins_from(summary().filter(summary()["column"] == c).first()))
+        stats = summary().filter(summary()["column"] == c).first()
+        extent = (stats["min"], stats["max"])
+        return histogram(df, c, auto_bins_from(stats), extent, keep_empty=False)
 
     report = {
         "row_count": partial(row_count, df),

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows up to which a table of scalars may be broadcast (a few MB at most).
+# Rows and bytes up to which a table may be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8_000_000
 
 
 def build_session(
@@ -62,10 +65,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add a broadcast hint when ``df`` is counted to be small, else leave the join to Spark.
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """About the bytes of a value: its length, or that of its text form for nested types."""
+    column = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(size, F.lit(0)).cast("bigint")
 
-    Meant for stored tables, where the count does not recompute anything large.
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add a broadcast hint when ``df`` is measured to be small, else leave the join to Spark.
+
+    Rows and bytes are counted.  Meant for stored tables, where that recomputes nothing large.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    width = reduce(lambda a, b: a + b, [_bytes(f.name, f.dataType) for f in df.schema])
+    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    small = seen["n"] <= max_rows and (seen["size"] or 0) <= max_bytes
     return F.broadcast(df) if small else df

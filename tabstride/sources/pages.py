@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabstride.constants import DEFAULT_STANDARD_TYPE, DEFAULT_TARGET
+from tabstride.session import materialize
 
 RECORDS_FIELD = "activities"
 
@@ -23,14 +24,18 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def record_schema(pages: DataFrame, records_field: str = RECORDS_FIELD) -> T.DataType:
-    """Type of one record: the union of all keys over all pages."""
+def record_schema(pages: DataFrame, records_field: str = RECORDS_FIELD) -> T.StructType | None:
+    """Type of one record: the union of all keys over all pages; None if no page has a record."""
     kind = pages.agg(
         F.schema_of_variant_agg(F.parse_json("body")).alias("kind")
     ).first()["kind"]
-    ddl = re.sub(r"DECIMAL\(\d+,\s?\d+\)", "DOUBLE", kind.replace("OBJECT<", "STRUCT<"))
-    whole = T._parse_datatype_string(re.sub(r"\bVOID\b", "STRING", ddl))
-    return whole[records_field].dataType.elementType
+    ddl = re.sub(r"DECIMAL\(\d+,\s?\d+\)", "DOUBLE", (kind or "VOID").replace("OBJECT<", "STRUCT<"))
+    whole = T.DataType.fromDDL(re.sub(r"\bVOID\b", "STRING", ddl))
+    if not isinstance(whole, T.StructType) or records_field not in whole.names:
+        return None
+    listed = whole[records_field].dataType
+    record = listed.elementType if isinstance(listed, T.ArrayType) else None
+    return record if isinstance(record, T.StructType) else None
 
 
 def ingest_pages(
@@ -41,16 +46,24 @@ def ingest_pages(
     """Records of all pages before the first page that has none.
 
     A page ends the ingest if its list is empty or its key is absent, as a reader that
-    fetches page after page would.
+    fetches page after page would.  A body that is missing or no valid JSON, or a value that
+    does not have its declared type, is an error.  Without a schema and without any record
+    the result is an empty table without columns.  Each body is parsed once; the parsed
+    pages are stored.
     """
     if schema is None:
         schema = record_schema(pages, records_field)
-    record = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        if schema is None:
+            return pages.sparkSession.createDataFrame([], T.StructType([]))
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     shape = T.StructType([T.StructField(records_field, T.ArrayType(record))])
-    parsed = pages.select(
-        "offset",
-        F.coalesce(F.from_json("body", shape)[records_field], F.array()).alias("records"),
-    )
+    # An empty body is read as null even in this mode.
+    page = F.from_json("body", shape, {"mode": "FAILFAST"})
+    wrong = F.raise_error(F.concat(F.lit("no JSON on page "), F.col("offset").cast("string")))
+    body = F.when(page.isNotNull(), page).otherwise(wrong.cast(shape))
+    parsed = materialize(pages.select(
+        "offset", F.coalesce(body[records_field], F.array().cast(shape[0].dataType)).alias("records")
+    ))
     stop = parsed.filter(F.size("records") == 0).agg(F.min("offset").alias("stop"))
     return (
         parsed.crossJoin(F.broadcast(stop))

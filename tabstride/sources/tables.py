@@ -44,9 +44,15 @@ def scan_csv(
 ) -> DataFrame:
     """CSV with a header.  Without a schema one extra pass finds the column types.
 
-    Files are split between tasks, so a quoted line break is an error unless
+    Columns are matched to the schema by the name in the header; all files must have the same
+    header.  Files are split between tasks, so a quoted line break is an error unless
     ``multi_line`` is set, which reads every file in one piece.
     """
+    names = spark.read.csv(path, header=True, escape='"', multiLine=multi_line).columns
+    wanted = list(_declared(schema)) if schema is not None else names
+    unknown = [c for c in wanted if c not in names]
+    if unknown:
+        raise ValueError(f"Columns not in the header: {unknown}")
     # With pruning a broken record would go unnoticed in the columns that are not read.
     texts = spark.read.option("columnPruning", multi_line).csv(
         path,
@@ -54,11 +60,12 @@ def scan_csv(
         escape='"',
         mode="FAILFAST",
         multiLine=multi_line,
-        schema=_as_text(schema),
+        schema=T.StructType([T.StructField(c, T.StringType()) for c in names]),
+        enforceSchema=False,
     )
     tokens = list(null_tokens)
     present = texts.select(
-        *[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in texts.columns]
+        *[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in wanted]
     )
     types = _declared(schema) if schema is not None else _observed(present)
     return present.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in present.columns])
@@ -68,12 +75,6 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _as_text(schema: T.StructType | str | None) -> T.StructType | None:
-    if schema is None:
-        return None
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in _struct(schema)])
-
-
 def _declared(schema: T.StructType | str) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in _struct(schema)}
 

@@ -271,9 +271,10 @@ def test_histogram_and_bins(spark):
     for bins in (7, None):
         got = P.histogram(df, "x", bins).orderBy("bin").toPandas()
         n, edges = np.histogram(x, "auto" if bins is None else bins)
-        assert got["n"].tolist() == n.tolist()
-        np.testing.assert_allclose(got["bin_start"], edges[:-1])
-        np.testing.assert_allclose(got["bin_end"], edges[1:])
+        shown = n >= (1 if bins is None else 0)
+        assert got["n"].tolist() == n[shown].tolist()
+        np.testing.assert_allclose(got["bin_start"], edges[:-1][shown])
+        np.testing.assert_allclose(got["bin_end"], edges[1:][shown])
     flat = P.histogram(df, "flat", 4).orderBy("bin").toPandas()
     n, edges = np.histogram(np.full(502, 3.0), 4)
     assert flat["n"].tolist() == n.tolist() and flat["bin_start"].tolist() == edges[:-1].tolist()
@@ -314,7 +315,8 @@ def test_profile_report_agrees_with_its_parts(spark):
     assert {r["column"]: r["count"] for r in report["describe"]().collect()} == {"x": 400, "y": 400}
     for c in "xy":
         n, _ = np.histogram(pdf[c], "auto")
-        assert [r["n"] for r in report[f"histogram.{c}"]().orderBy("bin").collect()] == n.tolist()
+        got = [r["n"] for r in report[f"histogram.{c}"]().orderBy("bin").collect()]
+        assert got == n[n > 0].tolist()
     for name, table in report.items():
         assert table().count() > 0, name
 
