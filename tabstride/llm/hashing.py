@@ -166,3 +166,5 @@ def text_slices(
             base, top = offsets[lo], offsets[hi]
             yield batch.slice(lo, hi - lo), data[base:top], offsets[lo : hi + 1] - base
             lo = hi
+    # Workers are used again by later tasks and should not hold what this one has freed.
+    pa.default_memory_pool().release_unused()

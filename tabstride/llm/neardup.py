@@ -33,7 +33,7 @@ class NearDup:
     shingle: int = 5
     percent: int = 80
     retained: int = 64
-    block_rows: int = 1024
+    block_rows: int = 512
     block_values: int = 1 << 20
 
     @property

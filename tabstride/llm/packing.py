@@ -34,7 +34,7 @@ class Packing:
     end_id: int = 1
     task_chars: int = 8_000_000
     most_tasks: int = 20_000
-    shard_ids: int = 1_500_000
+    shard_ids: int = 1_000_000
     shard_docs: int = 8_192
     query_terms: int = 24
     neighbours: int = 48

@@ -23,8 +23,8 @@ import regex
 from tabstride.llm.hashing import segment_hashes
 
 # Distinct words, and ids of words, that a worker keeps; beyond that it starts anew.
-CACHE_WORDS = 600_000
-CACHE_IDS = 4_000_000
+CACHE_WORDS = 250_000
+CACHE_IDS = 1_500_000
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 _APOSTROPHE = 39
@@ -50,12 +50,12 @@ def byte_letters() -> list[str]:
 def _character_classes() -> np.ndarray:
     """Class of each code point: letter and number as in the pattern, Unicode white space."""
     classes = np.full(sys.maxunicode + 1, _OTHER, np.uint8)
-    points = [p for p in range(sys.maxunicode + 1) if not 0xD800 <= p < 0xE000]
-    every = "".join(map(chr, points))
-    at = np.array(points)
+    points = np.arange(sys.maxunicode + 1, dtype="<u4")
+    points[0xD800:0xE000] = 0  # surrogates stand in no text
+    every = points.tobytes().decode("utf-32-le")
     for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\p{White_Space}+")):
         for run in regex.finditer(pattern, every):
-            classes[at[run.start() : run.end()]] = kind
+            classes[run.start() : run.end()] = kind
     return classes
 
 
