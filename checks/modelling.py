@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from checks.views import (
     with_v1,
     with_v2,
 )
+from tabstride.constants import FOREST_GRID
 from tabstride.functions import TEXT_DESCRIPTORS, text_descriptors
 from tabstride.operators import forest as RF
 from tabstride.operators import net as N
@@ -32,19 +35,29 @@ from tabstride.operators.scaling import (
     impute,
     scaler_stats,
 )
-from tabstride.operators.splits import random_split
-from tabstride.plans import evaluate, prepare, prepare_columns, score_batch
+from tabstride.operators.splits import label_sample, random_split
+from tabstride.plans import (
+    evaluate,
+    evaluate_run,
+    prepare,
+    prepare_columns,
+    score_batch,
+    train_net,
+)
 from tabstride.session import scratch_path
-from tabstride.sources.artefacts import load_forest, load_net, save_forest, save_net
-
-# Small searches and short trainings, to bound the run time of the checks.
-SMALL_GRID = {
-    "numTrees": [5, 10],
-    "maxDepth": [4],
-    "minInstancesPerNode": [1],
-    "subsamplingRate": [0.7, 1.0],
-}
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 4}
+from tabstride.sources.artefacts import (
+    load_forest,
+    load_net,
+    read_runs,
+    resolve_features,
+    save_features,
+    save_forest,
+    save_net,
+)
+
+# Labelled rows that a model is fitted on at most; scoring always covers all rows.
+MOST_FITTED = 2_000
+MOST_SEARCHED = 500
 
 
 def featurized(spark, sf):
@@ -125,21 +138,27 @@ def parts(spark, sf):
 
 def forest(spark, sf):
     train, test = parts(spark, sf)
-    return RF.rf_fit(train, SMALL_FOREST), test
+    return RF.rf_fit(label_sample(train, MOST_FITTED)), test
 
 
 def importances(spark, sf):
-    """Importance of each feature in a fitted forest."""
+    """Each feature of a fitted forest; whether its share is one, and all shares sum to one."""
     model, _ = forest(spark, sf)
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(float(v)).alias("importance"))
-                      for f, v in zip(FEATURES, model.featureImportances.toArray())])
+    shares = model.featureImportances.toArray()
+    total = bool(abs(shares.sum() - 1) < 1e-9)
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(bool(0 <= v <= 1)).alias("is_share"),
+                               F.lit(total).alias("sum_is_one"))
+                      for f, v in zip(FEATURES, shares)])
     return spark.range(1).select(F.inline(pairs))
 
 
 def predictions(spark, sf):
+    """All test rows, with whether the probability is one and the class follows from it."""
     model, test = forest(spark, sf)
     scored = positive_prob(RF.predict_forest(model, test), "prob")
-    return rounded(scored.select("id", "label", F.col("prediction").cast("int"), "prob"))
+    return scored.select(
+        "id", "label", F.col("prob").between(0, 1).alias("is_probability"),
+        (F.col("prediction") == (F.col("prob") > 0.5).cast("int")).alias("class_follows"))
 
 
 def reloaded(spark, sf):
@@ -155,30 +174,70 @@ def reloaded(spark, sf):
     )
 
 
-def search(spark, sf):
+@lru_cache(maxsize=4)
+def _search(app: str, spark, sf):
+    """The full search, once per session and folder: two keys report on it."""
     train, _ = parts(spark, sf)
-    return RF.rf_cross_validate(train, SMALL_GRID, folds=2)
+    return RF.rf_cross_validate(
+        label_sample(train, MOST_SEARCHED), partitions=1, parallelism=8)
+
+
+def search(spark, sf):
+    return _search(spark.sparkContext.applicationId, spark, sf)
+
+
+def _settings(model):
+    return [
+        ({p.name: float(v) for p, v in setting.items()}, area)
+        for setting, area in zip(model.getEstimatorParamMaps(), model.avgMetrics)
+    ]
 
 
 def cross_validated(spark, sf):
-    """Mean ROC area of every setting of a small grid."""
-    model = search(spark, sf)
-    cells = []
-    for setting, area in zip(model.getEstimatorParamMaps(), model.avgMetrics):
-        values = {p.name: float(v) for p, v in setting.items()}
-        cells.append(F.struct(*[F.lit(values[n]).alias(n) for n in RF.SEARCHED],
-                              F.lit(round(area, 6)).alias("area")))
+    """Every setting of the grid, and whether its mean ROC area is one."""
+    cells = [
+        F.struct(*[F.lit(values[n]).alias(n) for n in RF.SEARCHED],
+                 F.lit(bool(0 <= area <= 1)).alias("is_area"))
+        for values, area in _settings(search(spark, sf))
+    ]
     return spark.range(1).select(F.inline(F.array(*cells)))
 
 
 def best(spark, sf):
-    chosen = RF.best_params(search(spark, sf))
-    return spark.range(1).select(*[F.lit(float(v)).alias(n) for n, v in chosen.items()])
+    """Whether the best setting is one of the grid and has the largest area."""
+    model = search(spark, sf)
+    chosen = {n: float(v) for n, v in RF.best_params(model).items()}
+    settings = _settings(model)
+    areas = [area for values, area in settings if values == chosen]
+    top = max(area for _, area in settings)
+    return spark.range(1).select(
+        F.lit(len(settings)).alias("n_settings"), F.lit(len(areas)).alias("n_same"),
+        F.lit(areas == [top]).alias("is_best"))
 
 
 def evaluated(spark, sf):
+    """Logged numbers of an evaluation against plain SQL over its stored predictions."""
     model, test = forest(spark, sf)
-    return rounded(evaluate(model, test))
+    path = scratch_path(spark, "evaluation")
+    rows = evaluate_run(model, test, path, "forest")
+    logged = {r["key"]: float(r["value"]) for r in read_runs(spark, f"{path}/runs").collect()}
+    one_row = evaluate(model, test).first()
+    truth = spark.sql("""
+      WITH s AS (SELECT label, prob, custom_prediction AS p FROM {rows}),
+      c AS (SELECT count(*) AS n, count_if(p=label) AS hit, count_if(p=1 AND label=1) AS tp,
+                   count_if(p=0 AND label=0) AS tn, count_if(label=1) AS pos,
+                   count_if(label=0) AS neg, count_if(p=1) AS called FROM s),
+      g AS (SELECT prob, count_if(label=1) AS gp, count_if(label=0) AS gn FROM s GROUP BY prob),
+      a AS (SELECT sum(gn * (above + gp / 2)) AS wins FROM (SELECT gn, gp, coalesce(sum(gp) OVER (
+              ORDER BY prob DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+              FROM g))
+      SELECT hit / n AS accuracy, wins / (pos * neg) AS auc,
+             (pos * 2 * tp / (called + pos) + neg * 2 * tn / (n - called + neg)) / n AS weighted_f1,
+             n FROM c CROSS JOIN a""", rows=rows).first()
+    same = lambda k: abs(logged[k] - truth[k]) < 1e-9 and abs(one_row[k] - truth[k]) < 1e-9
+    return spark.range(1).select(
+        F.lit(truth["n"]).cast("bigint").alias("n_rows"), F.lit(logged["decision_threshold"]).alias("threshold"),
+        *[F.lit(same(k)).alias(f"{k}_agrees") for k in ("accuracy", "weighted_f1", "auc")])
 
 
 def net_training(spark, sf):
@@ -188,17 +247,43 @@ def net_training(spark, sf):
 
 
 def net_losses(spark, sf):
-    """Loss per epoch of a short training."""
-    _, losses = N.mlp_fit(net_training(spark, sf), FEATURES, "active", epochs=8)
-    rows = F.array(*[F.struct(F.lit(i + 1).alias("epoch"), F.lit(round(x, 4)).alias("loss"))
-                     for i, x in enumerate(losses)])
-    return spark.range(1).select(F.inline(rows))
+    """Epochs of a full training, and whether the loss fell."""
+    rows = label_sample(net_training(spark, sf), MOST_FITTED)
+    _, losses = N.mlp_fit(rows, FEATURES, "active", lanes=4)
+    return spark.range(1).select(
+        F.lit(len(losses)).alias("n_epochs"), F.lit(losses[-1] < losses[0]).alias("loss_fell"))
+
+
+def net_flow(spark, sf):
+    """Net training flow: all test rows, whether decided at the threshold, whether logged right."""
+    rows = activities(spark, sf).select(
+        "id", F.when(F.col("standard_value") < 1000, 1).otherwise(0).alias("label"), *FEATURES)
+    path = scratch_path(spark, "net_run")
+    predicted = train_net(rows, path, "net", FEATURES, epochs=5, lanes=8, batch_size=256)
+    logged = {r["key"]: float(r["value"]) for r in read_runs(spark, f"{path}/runs").collect()}
+    c = predicted.selectExpr(
+        "count(*) AS n", "count_if(prediction = label) AS hit", "count_if(prediction = 1) AS called",
+        "count_if(label = 1) AS pos", "count_if(prediction = 1 AND label = 1) AS tp").first()
+    right = (abs(logged["accuracy"] - c["hit"] / c["n"]) < 1e-9
+             and abs(logged["recall"] - c["tp"] / max(c["pos"], 1)) < 1e-9
+             and abs(logged["precision"] - c["tp"] / max(c["called"], 1)) < 1e-9)
+    return predicted.select(
+        "id", "label", (F.col("prediction") == (F.col("prob") >= 0.35).cast("int")).alias("decided"),
+        F.lit(right).alias("logged_right"))
+
+
+def resolved_features(spark, sf):
+    """The columns that a saved list of features names."""
+    path = scratch_path(spark, "features")
+    save_features(spark, FEATURES[::-1], path)
+    return activities(spark, sf).select("id", *resolve_features(spark, path))
 
 
 def perceptron(spark, sf):
     train, test = parts(spark, sf)
-    model = N.perceptron_fit(train, epochs=8)
-    return rounded(positive_prob(model.transform(test), "prob").select("id", "label", "prob"), 4)
+    model = N.perceptron_fit(label_sample(train, MOST_FITTED))
+    scored = positive_prob(model.transform(test), "prob")
+    return scored.select("id", "label", F.col("prob").between(0, 1).alias("is_probability"))
 
 
 def net_scored(spark, sf):
@@ -255,6 +340,8 @@ QUERIES = {
     "evaluate": evaluated,
     "mlp_fit": net_losses,
     "perceptron_fit": perceptron,
+    "train_net": net_flow,
+    "resolve_features": resolved_features,
     "epoch_loss": loss,
     "mlp_score": net_scored,
     "save_load_net": net_reloaded,
@@ -327,6 +414,29 @@ ORACLES = {
         "CROSS JOIN (SELECT quantile_cont(f3, 0.5) AS m FROM v2) s"
     ),
     "prepare": PREPARED_SQL,
+    "rf_fit": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, true AS is_share, true AS sum_is_one" for f in FEATURES),
+    "rf_cross_validate": "SELECT *, true AS is_area FROM " + " CROSS JOIN ".join(
+        f"(SELECT unnest({[float(v) for v in values]})::double AS \"{n}\") t{i}"
+        for i, (n, values) in enumerate(FOREST_GRID.items())),
+    "best_params": "SELECT 36 AS n_settings, 1 AS n_same, true AS is_best",
+    "predict_forest": with_v1(
+        "SELECT id, CASE WHEN standard_value < 1000 THEN 1 ELSE 0 END AS label, "
+        f"true AS is_probability, true AS class_follows FROM v1 WHERE NOT ({_TRAIN})"),
+    "perceptron_fit": with_v1(
+        "SELECT id, CASE WHEN standard_value < 1000 THEN 1 ELSE 0 END AS label, "
+        f"true AS is_probability FROM v1 WHERE NOT ({_TRAIN})"),
+    "evaluate": with_v1(
+        "SELECT count(*) AS n_rows, 0.38::double AS threshold, true AS accuracy_agrees, "
+        f"true AS weighted_f1_agrees, true AS auc_agrees FROM v1 WHERE NOT ({_TRAIN})"),
+    "mlp_fit": "SELECT 50 AS n_epochs, true AS loss_fell",
+    "train_net": with_v1(
+        "SELECT id, label, true AS decided, true AS logged_right FROM (SELECT id, label, "
+        "row_number() OVER (PARTITION BY label ORDER BY md5(concat('42:', id))) AS r, "
+        "count(*) OVER (PARTITION BY label) AS n FROM (SELECT id, "
+        "CASE WHEN standard_value < 1000 THEN 1 ELSE 0 END AS label FROM v1) b) c "
+        "WHERE r <= n // 5"),
+    "resolve_features": with_v1(f"SELECT id, {_FEATS} FROM v1"),
     "save_load_model": with_v1(
         f"SELECT count(*) AS n_rows, 0::bigint AS n_changed FROM v1 WHERE NOT ({_TRAIN})"
     ),

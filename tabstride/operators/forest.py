@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import ceil
 
 from pyspark.ml import PredictionModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -15,17 +14,13 @@ from tabstride.constants import FOLDS, FOREST_GRID, SEED
 from tabstride.operators.splits import kfold
 
 SEARCHED = list(FOREST_GRID)
-MIN_PARTITIONS = 8
-ROWS_PER_PARTITION = 1_000_000
+# Parts that the rows of a fit are dealt into by key.  Bagging works part by part, so this
+# belongs to the model like a seed; raise it for more rows than eight tasks can hold.
+FIT_PARTITIONS = 8
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Rows placed and ordered by key, so that a seeded fit does not depend on the input files.
-
-    The number of partitions follows from the number of rows unless it is given.
-    """
-    if partitions is None:
-        partitions = max(MIN_PARTITIONS, ceil(df.count() / ROWS_PER_PARTITION))
+def fixed_layout(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows placed and ordered by key, so that a seeded fit does not depend on the input files."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -40,7 +35,7 @@ def rf_fit(
     params: Mapping | None = None,
     seed: int = SEED,
     key: str = "id",
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> RandomForestClassificationModel:
     """Fit a forest on ``features, label`` in a layout fixed by ``key``."""
     # Several passes read the rows: metadata, split candidates, then the trees.
@@ -67,7 +62,7 @@ def rf_cross_validate(
     folds: int = FOLDS,
     seed: int = SEED,
     key: str = "id",
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Search the grid by mean ROC area over hash folds; the best setting is refitted."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from math import ceil
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,9 +15,15 @@ from pyspark.ml.classification import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.constants import NET_EPOCHS, NET_LAYERS, NET_LEARNING_RATE, SEED
+from tabstride.constants import (
+    NET_BATCH_SIZE,
+    NET_EPOCHS,
+    NET_LAYERS,
+    NET_LEARNING_RATE,
+    SEED,
+)
 from tabstride.functions import column_value, named, sigmoid
-from tabstride.operators.forest import ROWS_PER_PARTITION
+from tabstride.operators.forest import FIT_PARTITIONS
 
 
 @dataclass(frozen=True)
@@ -126,26 +132,39 @@ def epoch_loss(
     return scored.agg(F.avg(bce("z", "y")).alias("loss"))
 
 
-def _gradient_sums(layers, feats: Sequence[str]):
-    """Task function: summed gradient of all weights, then summed loss and row count."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(sum(w.size + b.size for w, b in layers) + 2)
-        for pdf in batches:
-            y = pdf["label"].to_numpy(float)
-            seen = _forward(layers, pdf[list(feats)].to_numpy(float))
-            z = seen[-1][:, 0]
-            delta = (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y)[:, None]
-            parts = []
-            for n in range(len(layers) - 1, -1, -1):
-                parts.append((delta.T @ seen[n], delta.sum(axis=0)))
-                delta = (delta @ layers[n][0]) * (seen[n] > 0)
-            flat = [part.ravel() for pair in reversed(parts) for part in pair]
-            loss = np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0.0) - z * y
-            total += np.concatenate([*flat, [loss.sum(), len(y)]])
+def _gradient(layers, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Summed gradient of all weights, then the summed loss."""
+    seen = _forward(layers, x)
+    z = seen[-1][:, 0]
+    delta = (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y)[:, None]
+    parts = []
+    for n in range(len(layers) - 1, -1, -1):
+        parts.append((delta.T @ seen[n], delta.sum(axis=0)))
+        delta = (delta @ layers[n][0]) * (seen[n] > 0)
+    flat = [part.ravel() for pair in reversed(parts) for part in pair]
+    loss = np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0.0) - z * y
+    return np.concatenate([*flat, [loss.sum()]])
+
+
+def gradient_sums(
+    df: DataFrame, feats: Sequence[str], weights: NetWeights, label: str = "label"
+) -> DataFrame:
+    """``slot, total``: gradient of the loss summed over all rows per weight, the loss last.
+
+    Weights are counted layer by layer: all of ``w`` row by row, then ``b``.
+    """
+    layers = weights.layers
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(_flatten(layers)) + 1)
+        for frame in frames:
+            total += _gradient(layers, frame[list(feats)].to_numpy(float), frame["label"].to_numpy(float))
         yield pd.DataFrame({"slot": np.arange(len(total)), "total": total})
 
-    return run
+    rows = df.select(*[named(f) for f in feats], named(label).alias("label"))
+    return rows.mapInPandas(run, "slot int, total double").groupBy("slot").agg(
+        F.sum("total").alias("total")
+    )
 
 
 def _flatten(layers) -> np.ndarray:
@@ -162,6 +181,42 @@ def _unflatten(flat: np.ndarray, like) -> tuple:
     return tuple(pairs)
 
 
+def _lane_epoch(layers, moments, step: int, rate: float, batch_size: int, feats: Sequence[str]):
+    """Task function: one epoch of Adam over the rows of a lane, in batches of ``batch_size``.
+
+    Hands on weights and moments times the lane's rows, then loss sum, rows and steps.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, flat = layers, _flatten(layers)
+        first, second = moments[0].copy(), moments[1].copy()
+        # Adam decay rates and guard: fixed values.
+        beta1, beta2, tiny = 0.9, 0.999, 1e-8
+        done, loss, seen = step, 0.0, 0
+        rest = None
+        for frame in chain(frames, [None]):
+            if frame is not None:
+                rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            size = 0 if rest is None else len(rest)
+            whole = size if frame is None else size - size % batch_size
+            for at in range(0, whole, batch_size):
+                part = rest.iloc[at : min(at + batch_size, whole)]
+                sums = _gradient(now, part[list(feats)].to_numpy(float), part["label"].to_numpy(float))
+                gradient = sums[:-1] / len(part)
+                done += 1
+                first = beta1 * first + (1 - beta1) * gradient
+                second = beta2 * second + (1 - beta2) * gradient**2
+                drift = first / (1 - beta1**done)
+                flat = flat - rate * drift / (np.sqrt(second / (1 - beta2**done)) + tiny)
+                now = _unflatten(flat, now)
+                loss, seen = loss + sums[-1], seen + len(part)
+            rest = None if rest is None else rest.iloc[whole:]
+        total = np.concatenate([seen * flat, seen * first, seen * second, [loss, seen, done - step]])
+        yield pd.DataFrame({"slot": np.arange(len(total)), "total": total})
+
+    return run
+
+
 def mlp_fit(
     df: DataFrame,
     feats: Sequence[str],
@@ -170,60 +225,53 @@ def mlp_fit(
     hidden: Sequence[int] = tuple(NET_LAYERS[1:-1]),
     epochs: int = NET_EPOCHS,
     learning_rate: float = NET_LEARNING_RATE,
-    steps_per_epoch: int = 1,
+    batch_size: int = NET_BATCH_SIZE,
+    lanes: int = FIT_PARTITIONS,
     seed: int = SEED,
 ) -> tuple[NetWeights, list[float]]:
     """Train with Adam on the cross-entropy; returns the weights and the loss per epoch.
 
-    Each step sums gradients on the executors; only one number per weight comes back.
-    With ``steps_per_epoch`` above 1 every epoch deals the rows by a fresh hash of the key
-    into that many disjoint batches, so an epoch still visits every row once.
+    Rows are dealt by key into ``lanes`` and ordered by a hash of it.  In an epoch every lane
+    takes its rows once in batches of ``batch_size`` from the common weights on; then weights
+    and moments are averaged, each lane counting by its rows.  One pass and one small result
+    per epoch.  ``lanes`` belongs to the model like the seed: the input's files and
+    partitions do not matter.  With one lane this is plain mini-batch training.
     """
-    weights = NetWeights.random([len(feats), *hidden, 1], seed)
-    layers, flat = weights.layers, _flatten(weights.layers)
-    first, second = np.zeros_like(flat), np.zeros_like(flat)
-    # Adam decay rates and guard: fixed values.
-    beta1, beta2, tiny = 0.9, 0.999, 1e-8
-    # One gradient row set per task: no more tasks than the cluster runs at once.
-    lanes = df.sparkSession.sparkContext.defaultParallelism
-    slim = df.select(
-        *[F.col(f).cast("double") for f in feats],
-        F.col(label).cast("double").alias("label"),
-        F.col(key).alias("_key"),
+    layers = NetWeights.random([len(feats), *hidden, 1], seed).layers
+    size = len(_flatten(layers))
+    moments = np.zeros(size), np.zeros(size)
+    rows = (
+        df.select(
+            *[named(f).cast("double").alias(f) for f in feats],
+            named(label).cast("double").alias("label"),
+            named(key).alias("_key"),
+        )
+        .repartition(lanes, "_key")
+        .sortWithinPartitions(F.xxhash64("_key", F.lit(seed)), "_key")
+        .drop("_key")
+        .persist()
     )
-    # One shuffle spreads the rows evenly for all the steps that follow.
-    rows = slim.repartition(max(lanes, ceil(slim.count() / ROWS_PER_PARTITION)), "_key").persist()
     losses, step = [], 0
     try:
-        for epoch in range(epochs):
-            loss_sum, row_sum = 0.0, 0.0
-            for part in range(steps_per_epoch):
-                batch = rows
-                if steps_per_epoch > 1:
-                    deal = F.pmod(F.xxhash64("_key", F.lit(seed + epoch)), F.lit(steps_per_epoch))
-                    batch = rows.filter(deal == part)
-                sums = (
-                    batch.drop("_key")
-                    .coalesce(lanes)
-                    .mapInPandas(_gradient_sums(layers, feats), "slot int, total double")
-                    .groupBy("slot")
-                    .agg(F.sum("total").alias("total"))
+        for _ in range(epochs):
+            sums = (
+                rows.mapInPandas(
+                    _lane_epoch(layers, moments, step, learning_rate, batch_size, feats),
+                    "slot int, total double",
                 )
-                total = np.zeros(flat.size + 2)
-                for r in sums.collect():
-                    total[r["slot"]] = r["total"]
-                if total[-1] == 0:
-                    continue
-                loss_sum, row_sum = loss_sum + total[-2], row_sum + total[-1]
-                gradient = total[:-2] / total[-1]
-                step += 1
-                first = beta1 * first + (1 - beta1) * gradient
-                second = beta2 * second + (1 - beta2) * gradient**2
-                drift = first / (1 - beta1**step)
-                scale = np.sqrt(second / (1 - beta2**step)) + tiny
-                flat = flat - learning_rate * drift / scale
-                layers = _unflatten(flat, layers)
-            losses.append(loss_sum / row_sum if row_sum else float("nan"))
+                .groupBy("slot")
+                .agg(F.sum("total").alias("total"))
+            )
+            total = np.zeros(3 * size + 3)
+            for r in sums.collect():
+                total[r["slot"]] = r["total"]
+            loss, seen, steps = total[-3:]
+            if not seen:
+                return NetWeights(layers), [float("nan")] * epochs
+            losses.append(loss / seen)
+            flat, *moments = (total[:-3] / seen).reshape(3, size)
+            layers = _unflatten(flat, layers)
+            step += max(1, round(steps / lanes))
     finally:
         rows.unpersist()
     return NetWeights(layers), losses

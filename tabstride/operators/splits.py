@@ -112,6 +112,13 @@ def _cuts(rows: DataFrame, sizes: DataFrame, bracket: bool, single_task_rows: in
     return edge.select("stratum", found.alias("cut"))
 
 
+def label_sample(
+    df: DataFrame, most: int, key: str = "id", seed: int = SEED
+) -> DataFrame:
+    """At most ``most`` rows, those with the smallest key hashes: a bounded set to fit on."""
+    return df.orderBy(hash_order(key, seed), key).limit(most)
+
+
 def sample_errors(
     df: DataFrame,
     n: int = 5,

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tabstride.operators import forest as RF
 from tabstride.operators import net as N
 from tabstride.operators.columns import positive_prob
-from tabstride.operators.metrics import roc_auc
+from tabstride.operators.metrics import binary_metrics, roc_auc
 from tabstride.operators.scaling import FittedScaler, fit_scaler
-from tabstride.plans import error_report, evaluate, prepare, score_batch
-from tabstride.sources.artefacts import load_forest, save_forest
+from tabstride.plans import error_report, evaluate, evaluate_run, prepare, score_batch, train_net
+from tabstride.sources.artefacts import load_forest, load_net, load_scaler, read_runs, save_forest
 
 NAMES = ["x0", "x1", "x2"]
 
@@ -97,22 +97,64 @@ def test_gradient_is_the_slope_of_the_loss():
         label=rng.integers(0, 2, 20).astype(float))
 
     def sums(layers):
-        halves = iter([pdf.iloc[:7], pdf.iloc[7:]])
-        return next(iter(N._gradient_sums(layers, NAMES)(halves)))["total"].to_numpy()
+        return N._gradient(layers, pdf[NAMES].to_numpy(), pdf["label"].to_numpy())
 
     flat, total = N._flatten(net.layers), sums(net.layers)
-    assert total[-1] == 20
     for slot in range(flat.size):
         step = np.zeros_like(flat)
         step[slot] = 1e-6
-        up = sums(N._unflatten(flat + step, net.layers))[-2]
-        down = sums(N._unflatten(flat - step, net.layers))[-2]
+        up = sums(N._unflatten(flat + step, net.layers))[-1]
+        down = sums(N._unflatten(flat - step, net.layers))[-1]
         assert total[slot] == pytest.approx((up - down) / 2e-6, abs=1e-4)
 
 
-@pytest.mark.parametrize("steps", [1, 3])
-def test_net_learns(spark, rows, steps):
-    net, losses = N.mlp_fit(rows, NAMES, epochs=12, steps_per_epoch=steps, learning_rate=0.05)
+def test_net_does_not_depend_on_layout(rows):
+    flat = [
+        N._flatten(N.mlp_fit(rows.repartition(parts), NAMES, epochs=3, lanes=3)[0].layers)
+        for parts in (1, 4, 13)
+    ]
+    np.testing.assert_allclose(flat[0], flat[1], atol=1e-6)
+    np.testing.assert_allclose(flat[0], flat[2], atol=1e-6)
+
+
+def test_gradient_over_executors(rows):
+    net = N.NetWeights.random([3, 4, 1], 1)
+    pdf = rows.toPandas()
+    expected = N._gradient(net.layers, pdf[NAMES].to_numpy(), pdf["label"].to_numpy(float))
+    got = N.gradient_sums(rows.repartition(5), NAMES, net).orderBy("slot").toPandas()["total"]
+    np.testing.assert_allclose(got, expected, rtol=1e-9, atol=1e-9)
+
+
+def test_net_flow_keeps_what_it_made(spark, rows, tmp_path):
+    path = str(tmp_path / "run")
+    predictions = train_net(rows, path, "r1", NAMES, epochs=4, lanes=2)
+    assert predictions.count() == sum(r["count"] // 5 for r in rows.groupBy("label").count().collect())
+    logged = {r["key"]: r["value"] for r in read_runs(spark, f"{path}/runs").collect()}
+    quality = binary_metrics(predictions, 0.35).first()
+    assert float(logged["accuracy"]) == quality["accuracy"] and float(logged["f1"]) == quality["f1"]
+    assert logged["decision_threshold"] == "0.35" and {"auc", "final_loss", "epochs"} <= set(logged)
+    again = score_batch(rows, NAMES, load_scaler(spark, f"{path}/scaler"),
+                        load_net(spark, f"{path}/net"), id_col="id").join(predictions, "id")
+    assert again.filter("abs(prob - prob_active) > 1e-12 OR prediction <> pred_active").count() == 0
+
+
+def test_evaluation_run_keeps_what_it_made(spark, vectors, tmp_path):
+    path = str(tmp_path / "run")
+    model = RF.rf_fit(vectors, {"numTrees": 5, "maxDepth": 3})
+    predictions = evaluate_run(model, vectors, path, "r1")
+    assert predictions.filter("custom_prediction <> int(prob >= 0.38)").count() == 0
+    logged = {r["key"]: r["value"] for r in read_runs(spark, f"{path}/runs").collect()}
+    quality = evaluate(load_forest(f"{path}/model"), vectors).first()
+    assert float(logged["auc"]) == pytest.approx(quality["auc"])
+    assert float(logged["accuracy"]) == quality["accuracy"] and logged["decision_threshold"] == "0.38"
+    # Error analysis on the saved model.
+    scored = predictions.select("id", "label", "prob", "prediction")
+    assert error_report(scored)["roc_auc"].first()["auc"] == pytest.approx(quality["auc"])
+
+
+@pytest.mark.parametrize("lanes", [1, 3])
+def test_net_learns(spark, rows, lanes):
+    net, losses = N.mlp_fit(rows, NAMES, epochs=12, lanes=lanes, learning_rate=0.01)
     assert [w.shape for w, _ in net.layers] == [(32, 3), (16, 32), (1, 16)]
     assert len(losses) == 12 and losses[-1] < losses[0] - 0.1
     after = N.epoch_loss(rows, NAMES, net).first()["loss"]
