@@ -446,27 +446,32 @@ class HtmlModel:
 def fit_labeller(df: DataFrame, html_col: str = "html", rules: HtmlModel | None = None) -> Labeller:
     """Labeller for the pages of ``df``; the same table gives the same weights."""
     rules = rules or HtmlModel()
-    html = F.col(html_col).cast("string")
-    sample = (
-        df.select(html.alias("html")).filter(F.length("html") <= rules.most_chars)
-        .orderBy(F.xxhash64("html", F.lit(rules.seed)), "html").limit(rules.sampled).collect()
+    pages = df.select(F.col(html_col).cast("string").alias("html")).filter(
+        F.length("html") <= rules.most_chars
+    ).withColumn("place", F.xxhash64("html", F.lit(rules.seed)))
+    # Only hashes are ordered; the pages themselves are fetched once the last one is known.
+    places = pages.select("place").distinct().orderBy("place").limit(rules.sampled).collect()
+    last = places[-1]["place"] if places else 0
+    sample = sorted(
+        pages.filter(F.col("place") <= last).dropDuplicates(["place"]).collect(),
+        key=lambda row: row["place"],
     )
     draw = np.random.default_rng(rules.seed)
-    pages, labels, texts = [], [], []
+    rows, labels, texts = [], [], []
     for row in sample:
         blocks = leaf_blocks(row["html"])
         texts += [b.text for b in blocks]
         own = tag_labels(blocks)
         if own is not None:
             mute = CONTENT_TAGS if draw.random() < 0.15 else frozenset()
-            pages.append(describe(blocks, {}, mute))
+            rows.append(describe(blocks, {}, mute))
             labels.append(own)
     for page, own in build_pages(texts, rules.built, rules.seed):
         blocks = leaf_blocks(page)
         if len(blocks) == len(own):
-            pages.append(describe(blocks, {}))
+            rows.append(describe(blocks, {}))
             labels.append(own)
-    return train(pages, labels, rules.hidden, rules.epochs, seed=rules.seed)
+    return train(rows, labels, rules.hidden, rules.epochs, seed=rules.seed)
 
 
 def extract(
