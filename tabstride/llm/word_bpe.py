@@ -18,7 +18,9 @@ from collections.abc import Callable, Iterable, Sequence
 from itertools import chain
 
 import numpy as np
-import regex
+from tokenizers import Regex
+from tokenizers.normalizers import Lowercase
+from tokenizers.pre_tokenizers import Split
 
 from tabstride.llm.hashing import segment_hashes
 
@@ -48,17 +50,29 @@ def byte_letters() -> list[str]:
 
 
 def _character_classes() -> np.ndarray:
-    """Class of each code point: letter and number as in the pattern, Unicode white space."""
+    """Class of each code point, as the library's own patterns see it."""
     classes = np.full(sys.maxunicode + 1, _OTHER, np.uint8)
     points = np.arange(sys.maxunicode + 1, dtype="<u4")
     points[0xD800:0xE000] = 0  # surrogates stand in no text
     every = points.tobytes().decode("utf-32-le")
-    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\p{White_Space}+")):
-        for run in regex.finditer(pattern, every):
-            classes[run.start() : run.end()] = kind
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        runs = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every)
+        for _, (start, end) in runs:
+            classes[start:end] = kind
     return classes
 
 
+def _unknown_capitals() -> dict[int, str]:
+    """Lower case, as the library has it, of letters that this Python does not know yet."""
+    points = [p for p in range(sys.maxunicode + 1) if unicodedata.category(chr(p)) == "Cn"]
+    library = Lowercase()
+    text = "".join(map(chr, points))
+    if library.normalize_str(text) == text:
+        return {}
+    pairs = ((p, library.normalize_str(chr(p))) for p in points if p < 0x20000)
+    return {p: lower for p, lower in pairs if lower != chr(p)}
+
+
 class BpeFile:
     """Vocabulary, merge ranks and special tokens of a tokenizer file."""
 
@@ -146,6 +160,9 @@ class TextEncoder:
         self.special = special
         self.splitter = re.compile("|".join(map(re.escape, special))) if special else None
         self.classes = _character_classes()
+        self.capitals = _unknown_capitals()
+        marks = "".join(map(chr, self.capitals)) or "\0"
+        self.has_capitals = re.compile(f"[{re.escape(marks)}]").search
         self._forget()
 
     def _forget(self) -> None:
@@ -155,10 +172,11 @@ class TextEncoder:
         self.ids = np.zeros(4096, np.int32)
         self.n_ids = 0
 
-    @staticmethod
-    def _normal(text: str) -> str:
+    def _normal(self, text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
+        if not text.isascii() and self.has_capitals(text):
+            text = text.translate(self.capitals)
         # Lower case goes letter by letter, so a sigma at the end of a word is an ordinary one.
         return text.replace("Σ", "σ").lower()
 
