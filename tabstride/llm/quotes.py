@@ -21,7 +21,7 @@ from tabstride.operators.running import running_totals
 # Messages whose quotes are looked up in one task at most.
 BLOCK = 4096
 
-_MARKS = r"^((?:[ \t]*>)+)"
+_MARKS = r"^([ \t>]*>)"
 
 
 def _level(line: Column) -> Column:
