@@ -9,6 +9,7 @@ text and negligible over a corpus.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,6 +154,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def release_memory() -> None:
+    """Give freed memory back: workers are used again and should not hold it meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: int, most: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -166,5 +175,4 @@ def text_slices(
             base, top = offsets[lo], offsets[hi]
             yield batch.slice(lo, hi - lo), data[base:top], offsets[lo : hi + 1] - base
             lo = hi
-    # Workers are used again by later tasks and should not hold what this one has freed.
-    pa.default_memory_pool().release_unused()
+    release_memory()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabstride.llm.components import connected_components, stored
-from tabstride.llm.hashing import runs, text_slices, words
+from tabstride.llm.hashing import release_memory, runs, text_slices, words
 from tabstride.session import broadcast_if_small
 
 
@@ -209,6 +209,7 @@ def _links(groups: DataFrame, sets: DataFrame, rules: NearDup) -> DataFrame:
         edges = column.offsets.to_numpy()
         sets = [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         links = compare_block(keys, sets, rules) if len(keys) > 1 else []
+        release_memory()
         return pa.table({
             "a": pa.array([x for x, _ in links], pa.binary()),
             "b": pa.array([y for _, y in links], pa.binary()),
