@@ -57,7 +57,7 @@ from tabstride.sources.artefacts import (
 
 # Labelled rows that a model is fitted on at most; scoring always covers all rows.
 MOST_FITTED = 2_000
-MOST_SEARCHED = 500
+MOST_SEARCHED = 200
 
 
 def featurized(spark, sf):
