@@ -150,14 +150,14 @@ def drop_repeats(
     """
     rules = rules or SpanRules()
     marks = repeated_runs(df, id_col, text_col, rules).select(
-        F.col("id").alias("_id"), F.col("k").alias("_k"), F.col("runs").alias("_runs")
+        F.col("id").alias("_tabstride_id"), F.col("k").alias("_tabstride_k"), F.col("runs").alias("_tabstride_runs")
     )
     source = df.drop("n_removed")
     text = F.col(text_col).cast("string")
-    keyed = source.withColumn("_key", F.xxhash64(text))
+    keyed = source.withColumn("_tabstride_key", F.xxhash64(text))
     marked = keyed.join(
-        marks, (keyed["_key"] == marks["_k"]) & keyed[id_col].eqNullSafe(marks["_id"]), "left"
-    ).select(*[F.col(f"`{c}`") for c in source.columns], "_runs")
+        marks, (keyed["_tabstride_key"] == marks["_tabstride_k"]) & keyed[id_col].eqNullSafe(marks["_tabstride_id"]), "left"
+    ).select(*[F.col(f"`{c}`") for c in source.columns], "_tabstride_runs")
     at, last = source.columns.index(text_col), len(source.columns)
     schema = T.StructType([
         *[T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in source.schema],

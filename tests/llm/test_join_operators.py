@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from test_text_operators import _plain_dedup, _plain_quality
 from tabstride.llm import embeddings, html, licenses, neardup, quotes, urls
 from tabstride.llm.components import connected_components
+from tabstride.llm.spans import SpanRules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -328,8 +330,24 @@ def test_pipeline_stages(spark, tmp_path):
         stage(spark, kept, "/root/testdata/sf0.001").write.parquet(str(tmp_path / name))
         before, kept = kept, spark.read.parquet(str(tmp_path / name))
         assert kept.columns == docs.columns and set(kept.dtypes) == set(docs.dtypes)
+        texts = {r.doc_id: r.text for r in before.collect()}
         ids = {r.doc_id for r in kept.collect()}
-        assert ids and ids <= {r.doc_id for r in before.collect()}
+        assert ids and ids <= set(texts)
+        if name == "quality_rules":
+            failed = {i for i, t in texts.items() if _plain_quality(t)[-1]}
+            assert not ids & failed
+        elif name == "minhash_near_dedup":
+            sets = {i: _shingles(t, 5) for i, t in texts.items()}
+            known = Union()
+            for i, a in sets.items():
+                known.find(i)
+                for j, b in sets.items():
+                    if i < j and a and 100 * len(a & b) >= 80 * len(a | b):
+                        known.join(i, j)
+            assert ids == {i for i in sets if known.find(i) == i}
+        else:
+            expected = _plain_dedup(texts, SpanRules())
+            assert {r.doc_id: r.text for r in kept.collect()} == {i: t for i, (t, _) in expected.items()}
     assert kept.filter("n_chars <> length(text)").count() == 0
     pieces = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     total = {r.doc_id: r.doc_tokens for r in pieces}

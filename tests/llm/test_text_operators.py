@@ -193,8 +193,11 @@ def test_substring_dedup_equals_brute_force(spark):
         for p in draw.integers(0, 5, draw.integers(0, 3)):
             parts.insert(draw.integers(0, len(parts) + 1), passages[p])
         documents[i] = " ".join(parts)
-    df = spark.createDataFrame([(i, t, "x") for i, t in documents.items()], "doc_id long, text string, n_removed string")
-    got = {r.doc_id: (r.text, r.n_removed) for r in spans.drop_repeats(df.repartition(4)).collect()}
+    rows = [(i, t, "x", "key", i) for i, t in documents.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_removed string, _key string, _runs long")
+    found = spans.drop_repeats(df.repartition(4)).collect()
+    assert all(r["_key"] == "key" and r["_runs"] == r.doc_id for r in found)
+    got = {r.doc_id: (r.text, r.n_removed) for r in found}
     expected = _plain_dedup(documents, spans.SpanRules())
     assert got == expected and sum(n for _, n in got.values()) > 50
 
