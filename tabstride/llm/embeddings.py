@@ -29,8 +29,8 @@ class Cells:
 
     With ``slack`` 1 every link is found: two unit vectors with cosine c differ by at most
     ``r = sqrt(2 - 2c)`` and their scores against two centroids by at most r times the
-    centroids' distance.  A smaller slack visits fewer cells; 0.5 is four standard deviations
-    of that difference in 64 dimensions when it points in a random direction.
+    centroids' distance.  A smaller slack visits fewer cells and loses links, the more the
+    fewer directions the vectors use.
     """
 
     cosine: float = 0.98
@@ -39,7 +39,7 @@ class Cells:
     most_sampled: int = 20_000
     rounds: int = 8
     block_rows: int = 1024
-    slack: float = 0.5
+    slack: float = 1.0
     seed: int = 42
 
 
@@ -86,7 +86,8 @@ def _cells(classes: DataFrame, centroids: np.ndarray, rules: Cells) -> DataFrame
             if len(rows):
                 scores = _matrix(lists.take(pa.array(rows))) @ centroids.T
                 best = own[rows] = np.argmax(scores, axis=1)
-                limit = scores[np.arange(len(rows)), best][:, None] - radius * apart[best]
+                # A margin over the rounding of scores and distances.
+                limit = scores[np.arange(len(rows)), best][:, None] - radius * apart[best] - 1e-7
                 seen = (scores >= limit) & (np.arange(len(centroids)) <= best[:, None])
                 for r, row in enumerate(rows.tolist()):
                     cells[row] = np.flatnonzero(seen[r]).tolist()

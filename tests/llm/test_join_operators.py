@@ -322,6 +322,30 @@ def test_vectors_equal_brute_force(spark, rules):
     assert embeddings.near_vectors(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("rank", [4, 8])
+def test_vectors_of_few_directions_equal_brute_force(spark, rank):
+    draw = np.random.default_rng(rank)
+    basis = np.linalg.qr(draw.normal(size=(64, rank)))[0]
+
+    def units(n):
+        v = draw.normal(size=(n, rank))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    first, aside = units(1500), units(1500)
+    aside -= (aside * first).sum(axis=1, keepdims=True) * first
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    second = 0.9805 * first + np.sqrt(1 - 0.9805**2) * aside
+    unit = np.concatenate([first, second]) @ basis.T
+    near = np.triu(unit @ unit.T >= 0.98, 1)
+    known, count = Union(), near.sum(axis=0) + near.sum(axis=1)
+    for i, j in zip(*np.nonzero(near), strict=True):
+        known.join(int(i), int(j))
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(unit.tolist())], "vec_id long, embedding array<double>, label int")
+    rules = embeddings.Cells(cell_vectors=12)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df, rules=rules).collect()}
+    assert got == {i: (count[i], known.find(i), known.find(i) == i) for i in range(len(unit))}
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Every stage against what its operator must do to the documents before it."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
