@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabstride.llm.neardup import keep_one
 from tabstride.llm.packing import pack
 from tabstride.llm.quality import keep_quality
-from tabstride.llm.spans import drop_repeats
+from tabstride.llm.spans import WHOLE, drop_repeats
 from tabstride.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,7 +29,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences that an earlier document or place has already."""
-    cleaned = drop_repeats(docs)
+    cleaned = drop_repeats(docs, rules=WHOLE)
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
     return cleaned.withColumn("n_chars", F.coalesce(length, "n_chars")).select(docs.columns)
 

@@ -26,7 +26,7 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return spans.drop_repeats(_documents(spark, sf))
+    return spans.drop_repeats(_documents(spark, sf), rules=spans.WHOLE)
 
 
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:

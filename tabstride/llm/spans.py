@@ -40,12 +40,21 @@ class SpanRules:
     line break and at the end of the text.  One of more than ``long_words`` words is cut at
     its commas, semicolons and colons as well, and after each word whose hash is a multiple of
     ``cut_every``, so that a passage in a sentence without pauses has cuts of its own.
+
+    The shortest run from each sentence on is hashed; with ``both_ways`` also the shortest run
+    that ends at each sentence.  Both together cover what all runs cover: a sentence behind the
+    first shortest run of a repeated passage ends a run that begins in the passage.
     """
 
     sentences: int = 2
     words: int = 12
     long_words: int = 12
     cut_every: int = 8
+    both_ways: bool = False
+
+
+# Rules that miss no run; those of the queries.
+WHOLE = SpanRules(both_ways=True)
 
 
 @dataclass
@@ -83,14 +92,21 @@ def cut_sentences(data: np.ndarray, offsets: np.ndarray, rules: SpanRules) -> Se
 
 
 def hash_runs(s: Sentences, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, number of sentences and hash of the shortest run from each sentence on."""
+    """First sentence, number of sentences and hash of the shortest runs."""
     n = len(s.texts)
     edges = np.r_[s.first_words, s.n_words]
     begin = np.arange(n)
     end = np.searchsorted(edges, edges[:-1] + rules.words)
     end = np.maximum(end, begin + rules.sentences)
     fits = (end <= n) & (s.texts[np.minimum(end, n) - 1] == s.texts) if n else np.zeros(0, bool)
-    begin, end = begin[fits], end[fits]
+    if rules.both_ways and n:
+        last = begin + 1
+        back = np.searchsorted(edges, edges[1:] - rules.words, "right") - 1
+        back = np.minimum(back, last - rules.sentences)
+        more = (back >= 0) & (s.texts[back] == s.texts) & (end[back] != last)
+        begin, end = np.r_[begin[fits], back[more]], np.r_[end[fits], last[more]]
+    else:
+        begin, end = begin[fits], end[fits]
     powers = np.full(s.n_words + 1, _BASE, np.uint64)
     inverse = np.full(s.n_words + 1, pow(_BASE, -1, 1 << 64), np.uint64)
     powers[0] = inverse[0] = 1

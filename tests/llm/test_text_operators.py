@@ -202,6 +202,44 @@ def test_substring_dedup_equals_brute_force(spark):
     assert got == expected and sum(n for _, n in got.values()) > 50
 
 
+def _plain_all_runs(documents, rules, sentences=_plain_sentences):
+    """Covered words of each text by all runs of sentences, without a shortest one."""
+    found, parsed = defaultdict(list), {}
+    for key, text in documents.items():
+        tokens, parts = parsed[key] = sentences(text, rules)
+        for a in range(len(parts)):
+            for b in range(a + rules.sentences, len(parts) + 1):
+                run = tuple(tokens[j][0].lower() for s in parts[a:b] for j in s)
+                if len(run) >= rules.words:
+                    found[run].append((key, a, b))
+    covered = defaultdict(set)
+    for places in found.values():
+        for key, a, b in sorted(places)[1:]:
+            covered[key] |= {j for s in parsed[key][1][a:b] for j in s}
+    return {key: [t[0] for j, t in enumerate(tokens) if j not in covered[key]] for key, (tokens, _) in parsed.items()}
+
+
+def test_substring_dedup_equals_brute_force_over_all_runs(spark):
+    draw = np.random.default_rng(8)
+    names = iter(f"w{i}" for i in range(100_000))
+
+    def sentences(sizes):
+        return " ".join(" ".join(next(names) for _ in range(n - 1)) + f" {next(names)}." for n in sizes)
+
+    short = sentences([8, 8, 3])
+    documents = {0: sentences([9]) + " " + short + " " + sentences([20]), 1: sentences([5]) + " " + short + " " + sentences([20])}
+    passages = [sentences(draw.integers(1, 15, draw.integers(2, 7))) for _ in range(12)]
+    for i in range(2, 50):
+        parts = [sentences(draw.integers(1, 15, draw.integers(1, 4))) for _ in range(3)]
+        parts[1:1] = [passages[p] for p in draw.integers(0, 12, 2)]
+        documents[i] = " ".join(parts)
+    documents |= {50 + i: documents[i] for i in range(25)}
+    df = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text.split() for r in spans.drop_repeats(df.repartition(3), rules=spans.WHOLE).collect()}
+    assert got == _plain_all_runs(documents, spans.WHOLE)
+    assert all(got[50 + i] == [] for i in range(25)) and len(got[1]) == 25
+
+
 def test_substring_dedup_on_odd_rows(spark):
     passage = " ".join(f"p{i}." if i % 6 == 5 else f"p{i}" for i in range(60))
     rows = [(1, "start here. " + passage), (1, "start here. " + passage), (2, passage), (3, None), (4, ""),
