@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabstride.llm.components import stored
-from tabstride.llm.hashing import _BASE, mix, text_slices, words
+from tabstride.llm.hashing import _BASE, _LOWER, Words, mix, segment_hashes, text_slices, words
 
 
 def _flags(characters: bytes) -> np.ndarray:
@@ -44,6 +44,13 @@ class SpanRules:
     The shortest run from each sentence on is hashed; with ``both_ways`` also the shortest run
     that ends at each sentence.  Both together cover what all runs cover: a sentence behind the
     first shortest run of a repeated passage ends a run that begins in the passage.
+
+    With ``window`` a long sentence is cut, in place of ``cut_every``, after each word whose
+    hash is the least (the last of equal ones) of any ``window`` words of the sentence that
+    follow one another, so that there is a cut in each such window, the same wherever the words
+    stand.  With ``wrapped`` runs are also hashed over sentences that end at empty lines but not
+    at other line breaks, so that lines of another width do not matter.  With ``characters``
+    each character of a script without blanks counts as a word, and its marks end sentences.
     """
 
     sentences: int = 2
@@ -51,62 +58,168 @@ class SpanRules:
     long_words: int = 12
     cut_every: int = 8
     both_ways: bool = False
+    window: int = 0
+    wrapped: bool = False
+    characters: bool = False
 
 
 # Rules that miss no run; those of the queries.
-WHOLE = SpanRules(both_ways=True)
+WHOLE = SpanRules(both_ways=True, window=8, wrapped=True, characters=True)
 
 
 @dataclass
 class Sentences:
-    """Sentences of some texts: text, first byte, first word; and the words' count and hashes."""
+    """Sentences of some texts: text, first byte, first word; and the words' count and hashes.
+
+    With wrapped lines, ``by_line`` and ``joined`` say which of them begin a sentence if line
+    breaks count and if they do not.
+    """
 
     texts: np.ndarray
     starts: np.ndarray
     first_words: np.ndarray
     n_words: int
     hashes: np.ndarray
+    by_line: np.ndarray | None = None
+    joined: np.ndarray | None = None
+
+
+# Scripts without blanks between words, first and last code point; their end marks, pauses and
+# closing marks.  Fixed values.
+_UNSPACED = np.array([
+    (0x0E00, 0x0EFF), (0x0F00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
+    (0x2E80, 0x312F), (0x3190, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFE30, 0xFE4F), (0xFF00, 0xFF9F), (0xFFE0, 0xFFEF), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+])
+_WIDE_ENDS = np.array(sorted(map(ord, "。！？．｡។៕။།༎")))
+_WIDE_PAUSES = np.array(sorted(map(ord, "、，；：､၊៖")))
+_WIDE_CLOSERS = np.array(sorted(map(ord, "」』）】》〉〕］｝｣〟")))
+
+
+def _one_of(points: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    return marks[np.minimum(np.searchsorted(marks, points), len(marks) - 1)] == points
+
+
+def _split_characters(data: np.ndarray, found: Words) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words with each character of ``_UNSPACED`` on its own; whether one ends or pauses a sentence.
+
+    Marks stay with what is before them.
+    """
+    none = np.zeros(len(found.hashes), bool)
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return found, none, none
+    four = data[lead] >= 0xF0
+    bits = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 63 for k in range(4)]
+    points = (bits[0] & 15) << 12 | bits[1] << 6 | bits[2]
+    points = np.where(four, (points & 0x7FFF) << 6 | bits[3], points)
+    inside = np.searchsorted(_UNSPACED[:, 0], points, "right") - 1
+    inside = (inside >= 0) & (points <= _UNSPACED[np.maximum(inside, 0), 1])
+    ends, pauses, closers = (_one_of(points, m) for m in (_WIDE_ENDS, _WIDE_PAUSES, _WIDE_CLOSERS))
+    after = lead + 3 + four
+    marks = ends | pauses | closers
+    if not inside.any():
+        return found, none, none
+    # Breaks in front of and behind each such character, but not in front of a mark.
+    cuts = np.union1d(lead[inside], after[inside])
+    cuts = cuts[~np.isin(cuts, lead[marks])]
+    owner = np.searchsorted(found.starts, cuts, "right") - 1
+    cuts = cuts[(owner >= 0) & (cuts < (found.starts + found.lengths)[owner])]
+    starts = np.union1d(found.starts, cuts)
+    owner = np.searchsorted(found.starts, starts, "right") - 1
+    stops = np.minimum(np.r_[starts[1:], len(data)], (found.starts + found.lengths)[owner])
+    lengths = stops - starts
+    whole = found.lengths[owner] == lengths
+    hashes = found.hashes[owner].copy()
+    parts = np.flatnonzero(~whole)
+    if len(parts):
+        size = lengths[parts]
+        place = np.arange(size.sum()) + np.repeat(starts[parts] - np.cumsum(size) + size, size)
+        hashes[parts] = segment_hashes(_LOWER[data[place]], size)
+    split = Words(hashes, starts, lengths, found.texts[owner])
+
+    def words_with(at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(starts), bool)
+        own = np.searchsorted(starts, at, "right") - 1
+        out[own[own >= 0]] = True
+        return out
+
+    return split, words_with(lead[ends]), words_with(lead[pauses])
+
+
+def _least_in_windows(hashes: np.ndarray, sentence: np.ndarray, window: int) -> np.ndarray:
+    """Words that are the last least one of some ``window`` words in a row of their sentence."""
+    n = len(hashes)
+    reach = np.ones(n, np.int16)
+    for step, beats in ((-1, np.less_equal), (1, np.less)):
+        going = np.ones(n, bool)
+        for d in range(1, min(window, n)):
+            here, there = (slice(d, n), slice(0, n - d)) if step < 0 else (slice(0, n - d), slice(d, n))
+            fits = np.zeros(n, bool)
+            fits[here] = (sentence[here] == sentence[there]) & beats(hashes[here], hashes[there])
+            going &= fits
+            reach += going
+    return reach >= window
+
+
+def _finals(final, pauses, hashes, rules: SpanRules) -> np.ndarray:
+    """Last words of sentences, once the long ones are cut."""
+    lengths = np.diff(np.r_[0, np.flatnonzero(final) + 1])
+    long = np.repeat(lengths > rules.long_words, lengths)
+    cuts = pauses.copy()
+    if rules.window:
+        at = np.flatnonzero(long)
+        sentence = np.repeat(np.arange(len(lengths)), lengths)[at]
+        cuts[at] |= _least_in_windows(hashes[at], sentence, rules.window)
+    else:
+        cuts |= hashes % np.uint64(rules.cut_every) == 0
+    return final | long & cuts
 
 
 def cut_sentences(data: np.ndarray, offsets: np.ndarray, rules: SpanRules) -> Sentences:
     found = words(data, offsets, lower=True)
-    size = len(found.hashes)
     none = np.zeros(0, np.int64)
-    if not size:
+    if not len(found.hashes):
         return Sentences(none, none, none, 0, found.hashes)
+    wide_ends = wide_pauses = False
+    if rules.characters:
+        found, wide_ends, wide_pauses = _split_characters(data, found)
+    size = len(found.hashes)
     ends = found.starts + found.lengths
     last = ends - 1
     for _ in range(3):
         last -= _CLOSERS[data[last]] & (last > found.starts)
     last_of_text = np.r_[found.texts[1:] != found.texts[:-1], True]
     breaks = np.flatnonzero(data == 10)
-    newline = np.searchsorted(breaks, ends) < np.searchsorted(breaks, np.r_[found.starts[1:], len(data)])
-    final = _ENDS[data[last]] | newline | last_of_text
-
-    first = np.r_[0, np.flatnonzero(final)[:-1] + 1]
-    lengths = np.diff(np.r_[first, size])
-    long = np.repeat(lengths > rules.long_words, lengths)
-    final |= long & (_PAUSES[data[last]] | (found.hashes % np.uint64(rules.cut_every) == 0))
+    lines = np.searchsorted(breaks, np.r_[found.starts[1:], len(data)]) - np.searchsorted(breaks, ends)
+    end = _ENDS[data[last]] | wide_ends | last_of_text
+    pauses = _PAUSES[data[last]] | wide_pauses
+    final = _finals(end | (lines > 0), pauses, found.hashes, rules)
+    joined = None
+    if rules.wrapped:
+        joined = _finals(end | (lines > 1), pauses, found.hashes, rules)
+        final, by_line = final | joined, final
     first = np.r_[0, np.flatnonzero(final)[:-1] + 1]
-    return Sentences(found.texts[first], found.starts[first], first, size, found.hashes)
+    s = Sentences(found.texts[first], found.starts[first], first, size, found.hashes)
+    if joined is not None:
+        s.by_line, s.joined = (np.r_[True, f[first[1:] - 1]] for f in (by_line, joined))
+    return s
 
 
 def hash_runs(s: Sentences, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First sentence, number of sentences and hash of the shortest runs."""
-    n = len(s.texts)
-    edges = np.r_[s.first_words, s.n_words]
-    begin = np.arange(n)
-    end = np.searchsorted(edges, edges[:-1] + rules.words)
-    end = np.maximum(end, begin + rules.sentences)
-    fits = (end <= n) & (s.texts[np.minimum(end, n) - 1] == s.texts) if n else np.zeros(0, bool)
-    if rules.both_ways and n:
-        last = begin + 1
-        back = np.searchsorted(edges, edges[1:] - rules.words, "right") - 1
-        back = np.minimum(back, last - rules.sentences)
-        more = (back >= 0) & (s.texts[back] == s.texts) & (end[back] != last)
-        begin, end = np.r_[begin[fits], back[more]], np.r_[end[fits], last[more]]
+    if s.joined is None:
+        begin, end = _shortest_runs(s.texts, np.r_[s.first_words, s.n_words], rules)
     else:
-        begin, end = begin[fits], end[fits]
+        both = []
+        for starts in (s.by_line, s.joined):
+            own = np.r_[np.flatnonzero(starts), len(s.texts)]
+            if len(s.texts):
+                a, b = _shortest_runs(s.texts[own[:-1]], np.r_[s.first_words, s.n_words][own], rules)
+                both.append(own[a] << 32 | own[b])
+        pairs = np.unique(np.concatenate(both)) if both else np.zeros(0, np.int64)
+        begin, end = pairs >> 32, pairs & 0xFFFFFFFF
+    edges = np.r_[s.first_words, s.n_words]
     powers = np.full(s.n_words + 1, _BASE, np.uint64)
     inverse = np.full(s.n_words + 1, pow(_BASE, -1, 1 << 64), np.uint64)
     powers[0] = inverse[0] = 1
@@ -116,6 +229,22 @@ def hash_runs(s: Sentences, rules: SpanRules) -> tuple[np.ndarray, np.ndarray, n
     return begin, end - begin, mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
 
 
+def _shortest_runs(texts: np.ndarray, edges: np.ndarray, rules: SpanRules) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence of each run, and the one behind its last; ``edges`` has the first words and the end."""
+    n = len(texts)
+    begin = np.arange(n)
+    end = np.searchsorted(edges, edges[:-1] + rules.words)
+    end = np.maximum(end, begin + rules.sentences)
+    fits = (end <= n) & (texts[np.minimum(end, n) - 1] == texts) if n else np.zeros(0, bool)
+    if rules.both_ways and n:
+        last = begin + 1
+        back = np.searchsorted(edges, edges[1:] - rules.words, "right") - 1
+        back = np.minimum(back, last - rules.sentences)
+        more = (back >= 0) & (texts[back] == texts) & (end[back] != last)
+        return np.r_[begin[fits], back[more]], np.r_[end[fits], last[more]]
+    return begin[fits], end[fits]
+
+
 def _run_table(df: DataFrame, id_col: str, text_col: str, rules: SpanRules) -> DataFrame:
     """``h, id, k, run`` per run: its hash, the text's id and hash, and ``i * 2**32 + n``."""
     kind = dict(df.select(id_col).dtypes)[id_col]

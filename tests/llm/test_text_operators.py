@@ -240,6 +240,53 @@ def test_substring_dedup_equals_brute_force_over_all_runs(spark):
     assert all(got[50 + i] == [] for i in range(25)) and len(got[1]) == 25
 
 
+def _left_of_passages(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r.text for r in spans.drop_repeats(df, rules=spans.WHOLE).collect()}
+
+
+def test_substring_dedup_without_pauses(spark):
+    draw = np.random.default_rng(4)
+    passages = [[f"p{i}" for i in draw.integers(0, 50_000, 51)] for _ in range(150)]
+    around = lambda: [f"a{i}" for i in draw.integers(0, 10**9, 30)]
+    texts = [" ".join(around() + p + around()) for p in passages * 2]
+    left = _left_of_passages(spark, texts)
+    stay = [sum(w[0] == "p" for w in left[150 + i].split()) for i in range(150)]
+    assert max(stay) <= 16 and np.mean(stay) < 9
+    assert all(left[i] == texts[i] for i in range(150))
+    assert all(sum(w[0] == "a" for w in t.split()) >= 46 for t in left.values())
+
+
+def test_substring_dedup_of_lines(spark):
+    words = [f"w{i}" for i in range(90)]
+    wrapped = lambda n: "\n".join(" ".join(words[i : i + n]) for i in range(0, 90, n))
+    lines = "\n".join(" ".join(f"k{i}" for i in range(j, j + 6)) for j in (0, 6, 12))
+    texts = ["One begins.\n" + wrapped(12) + ".\nAnd ends.", "Two differs.\n" + wrapped(7) + ".\nSo it is.",
+             "x1 x2\n" + lines + "\nx3 x4 x5", "y1 y2 y3\n" + lines + "\ny4 y5"]
+    left = _left_of_passages(spark, texts)
+    assert left[1].split() == "Two differs. So it is.".split()
+    assert left[3].split() == "y1 y2 y3 y4 y5".split()
+    assert left[0] == texts[0] and left[2] == texts[2]
+
+
+def test_substring_dedup_without_blanks(spark):
+    draw = np.random.default_rng(9)
+    han = lambda n: "".join(chr(c) for c in draw.integers(0x4E00, 0x9FA0, n))
+    thai = lambda n: "".join(chr(c) for c in draw.integers(0x0E01, 0x0E2F, n))
+    chinese = "".join(han(n) + "。" for n in (9, 11, 8, 10))
+    long = thai(80)
+    texts = [han(9) + "。" + chinese + han(12) + "！", han(7) + "？" + chinese + "「" + han(9) + "。」",
+             thai(30) + long + thai(30), thai(30) + long + thai(30), "it’s 한국어 text 漢字x。"]
+    left = _left_of_passages(spark, texts)
+    assert left[1] == texts[1].replace(chinese, "")
+    assert 60 <= len(left[3]) <= 76 and left[3][:24] == texts[3][:24]
+    assert all(left[i] == texts[i] for i in (0, 2, 4))
+    data = np.frombuffer(texts[4].encode(), np.uint8)
+    found, ends, _ = spans._split_characters(data, hashing.words(data, np.array([0, len(data)]), lower=True))
+    cut = [bytes(data[a : a + n]).decode() for a, n in zip(found.starts, found.lengths, strict=True)]
+    assert cut == ["it’s", "한국어", "text", "漢", "字", "x。"] and ends.tolist() == [False] * 5 + [True]
+
+
 def test_substring_dedup_on_odd_rows(spark):
     passage = " ".join(f"p{i}." if i % 6 == 5 else f"p{i}" for i in range(60))
     rows = [(1, "start here. " + passage), (1, "start here. " + passage), (2, passage), (3, None), (4, ""),
