@@ -259,7 +259,7 @@ def net_flow(spark, sf):
     rows = activities(spark, sf).select(
         "id", F.when(F.col("standard_value") < 1000, 1).otherwise(0).alias("label"), *FEATURES)
     path = scratch_path(spark, "net_run")
-    predicted = train_net(rows, path, "net", FEATURES, epochs=5, lanes=8, batch_size=256)
+    predicted = train_net(rows, path, "net", FEATURES)
     logged = {r["key"]: float(r["value"]) for r in read_runs(spark, f"{path}/runs").collect()}
     c = predicted.selectExpr(
         "count(*) AS n", "count_if(prediction = label) AS hit", "count_if(prediction = 1) AS called",

@@ -7,12 +7,14 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from checks import modelling
 from tabstride.operators import forest as RF
 from tabstride.operators import net as N
 from tabstride.operators.columns import positive_prob
 from tabstride.operators.metrics import binary_metrics, roc_auc
 from tabstride.operators.scaling import FittedScaler, fit_scaler
 from tabstride.plans import error_report, evaluate, evaluate_run, prepare, score_batch, train_net
+from tabstride.plans import training
 from tabstride.sources.artefacts import load_forest, load_net, load_scaler, read_runs, save_forest
 
 NAMES = ["x0", "x1", "x2"]
@@ -138,6 +140,20 @@ def test_net_flow_keeps_what_it_made(spark, rows, tmp_path):
     assert again.filter("abs(prob - prob_active) > 1e-12 OR prediction <> pred_active").count() == 0
 
 
+def test_net_query_trains_in_full(spark, tmp_path, monkeypatch):
+    path, fit, given = str(tmp_path / "run"), training.mlp_fit, {}
+
+    def watched(df, *args, **options):
+        given.update(options)
+        return fit(df, *args, **options)
+
+    monkeypatch.setattr(training, "mlp_fit", watched)
+    monkeypatch.setattr(modelling, "scratch_path", lambda *_: path)
+    assert modelling.net_flow(spark, "/root/testdata/sf0.001").count() > 0
+    logged = {r["key"]: r["value"] for r in read_runs(spark, f"{path}/runs").collect()}
+    assert logged["epochs"] == "50" and given.get("batch_size", 32) == 32
+
+
 def test_evaluation_run_keeps_what_it_made(spark, vectors, tmp_path):
     path = str(tmp_path / "run")
     model = RF.rf_fit(vectors, {"numTrees": 5, "maxDepth": 3})
