@@ -24,8 +24,7 @@ from tabstride.llm.hashing import text_slices, words
 
 # Element names by their role in HTML: fixed values.
 SKIPPED = frozenset(
-    "audio canvas head iframe math noscript object script select style svg template textarea "
-    "title video".split()
+    "canvas head iframe noscript script select style svg template textarea title".split()
 )
 RAW = frozenset("iframe noscript script style template textarea title".split())
 VOID = frozenset(
@@ -33,7 +32,12 @@ VOID = frozenset(
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr "
+    "math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
+)
+IN_HEAD = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split()
 )
 CLOSED_BY_LIKE = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -91,6 +95,8 @@ def leaf_blocks(html: str) -> list[Block]:
     while at < len(html):
         to = html.find("<", at)
         to = len(html) if to < 0 else to
+        if to > at and stack and stack[-1][0] == "head" and not html[at:to].isspace():
+            pop_to(len(stack) - 1)
         if to > at and not skipped:
             text = unescape(html[at:to])
             parts.append(text)
@@ -121,6 +127,10 @@ def leaf_blocks(html: str) -> list[Block]:
             elif tag not in INLINE:
                 close()
             continue
+        if tag == "head" and (blocks or any(t != "html" for t, _ in stack) or "".join(parts).strip()):
+            continue
+        if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop_to(len(stack) - 1)
         if tag in VOID:
             if tag not in INLINE and not skipped:
                 close()

@@ -201,6 +201,17 @@ def test_leaf_blocks():
         html.leaf_blocks(odd)
 
 
+def test_open_heads_and_embedded_content_keep_their_text():
+    texts = lambda page: [b.text for b in html.leaf_blocks(page)]
+    for head in ("<head><title>x</title>", "<head><meta charset=u><script>a<b</script></head>", "<HEAD>\n<link rel=x>"):
+        assert texts(f"<html>\n{head}\n<body><article><p>one</p></article>") == ["one"]
+        assert texts(f"<html>{head}<p>one<head>two</p>") == ["onetwo"]
+    assert texts("<head><title>x</title>plain<p>one") == ["plain", "one"]
+    page = ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><object data=a><param name=b>object text</object>"
+            "<video><source src=v>video text</video><audio src=a>audio text</audio><p>end</article>")
+    assert texts(page) == ["where x=2 holds", "object text", "video text", "audio text", "end"]
+
+
 def test_labeller_gradient():
     draw = np.random.default_rng(0)
     pages = [draw.normal(size=(n, html.WIDTH)).astype(np.float32) for n in (3, 5)]
