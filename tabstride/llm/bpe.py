@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabstride.llm.hashing import text_slices
-from tabstride.llm.word_bpe import own_encoder
+from tabstride.llm.word_bpe import SLICE_BYTES, own_encoder
 
 
 def encode(
@@ -30,7 +30,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, file = own_encoder(path)
-        for part, _, _ in text_slices(batches, 1):
+        for part, _, _ in text_slices(batches, 1, SLICE_BYTES):
             ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
             columns = [
                 part.column(0),

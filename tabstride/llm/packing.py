@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabstride.llm.hashing import text_slices
-from tabstride.llm.word_bpe import TextEncoder, library_encoder
+from tabstride.llm.word_bpe import SLICE_BYTES, TextEncoder, fast_encoder
 
 _K1, _B = 1.2, 0.75
 
@@ -217,7 +217,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _RangePacker(
-            library_encoder(path), rules, TaskContext.get().partitionId() << 40, with_ids
+            fast_encoder(path), rules, TaskContext.get().partitionId() << 40, with_ids
         )
         key_type = None
 
@@ -231,7 +231,7 @@ def pack(
             packer.keys, packer.rows = [], []
             return batch
 
-        for part, _, _ in text_slices(batches, 1):
+        for part, _, _ in text_slices(batches, 1, SLICE_BYTES):
             key_type = part.column(0).type
             packer.add(part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()])
             if len(packer.rows) >= 2_000:

@@ -14,7 +14,7 @@ import re
 import sys
 import types
 import unicodedata
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -24,16 +24,27 @@ from tokenizers.pre_tokenizers import Split
 
 from tabstride.llm.hashing import segment_hashes
 
-# Distinct words, and ids of words, that a worker keeps; beyond that it starts anew.
-CACHE_WORDS = 250_000
-CACHE_IDS = 1_500_000
+# Distinct words that a worker keeps, and ids of a kept word at most.
+CACHE_WORDS = 1 << 19
+CACHE_IDS = 8
+# Text bytes encoded at once: the more, the fewer words are met again.
+SLICE_BYTES = 1 << 20
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+# Added to the class of a capital that this Python does not know; class of points not asked for.
+_CAPITAL, _UNKNOWN = 8, 255
+# Code points whose classes are asked for together.
+_PAGE = 1 << 12
 _APOSTROPHE = 39
 # Endings that stay together with an apostrophe in front: fixed values.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+# Bytes up to which words are merged side by side, in groups of like length.
+_GROUPS = (4, 8, 16, 32)
+_NONE = np.iinfo(np.int64).max
+_LOW = (1 << 32) - 1
 
-EncodeWords = Callable[[Sequence[str]], Iterable[Sequence[int]]]
+# UTF-8 bytes of words, one after another, and their lengths -> all ids, and their counts.
+EncodeWords = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def worker_state() -> dict:
@@ -49,28 +60,42 @@ def byte_letters() -> list[str]:
     return [chr(b if b in visible else next(hidden)) for b in range(256)]
 
 
-def _character_classes() -> np.ndarray:
-    """Class of each code point, as the library's own patterns see it."""
-    classes = np.full(sys.maxunicode + 1, _OTHER, np.uint8)
-    points = np.arange(sys.maxunicode + 1, dtype="<u4")
-    points[0xD800:0xE000] = 0  # surrogates stand in no text
-    every = points.tobytes().decode("utf-32-le")
-    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
-        runs = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every)
-        for _, (start, end) in runs:
-            classes[start:end] = kind
-    return classes
-
-
-def _unknown_capitals() -> dict[int, str]:
-    """Lower case, as the library has it, of letters that this Python does not know yet."""
-    points = [p for p in range(sys.maxunicode + 1) if unicodedata.category(chr(p)) == "Cn"]
-    library = Lowercase()
-    text = "".join(map(chr, points))
-    if library.normalize_str(text) == text:
-        return {}
-    pairs = ((p, library.normalize_str(chr(p))) for p in points if p < 0x20000)
-    return {p: lower for p, lower in pairs if lower != chr(p)}
+class CharacterClasses:
+    """Class of each code point, as the library's own patterns see it, page by page on demand.
+
+    ``capitals`` maps letters that this Python does not know yet to the library's lower case.
+    """
+
+    def __init__(self) -> None:
+        self.table = np.full(sys.maxunicode + 1, _UNKNOWN, np.uint8)
+        self.capitals: dict[int, str] = {}
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        found = self.table[points]
+        unknown = found == _UNKNOWN
+        if unknown.any():
+            for page in np.unique(points[unknown] // _PAGE).tolist():
+                self._fill(page * _PAGE)
+            found = self.table[points]
+        return found
+
+    def _fill(self, first: int) -> None:
+        points = np.arange(first, first + _PAGE, dtype="<u4")
+        points[(points >= 0xD800) & (points < 0xE000)] = 0  # surrogates stand in no text
+        text = points.tobytes().decode("utf-32-le")
+        classes = np.full(_PAGE, _OTHER, np.uint8)
+        for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+            for _, (start, end) in Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(text):
+                classes[start:end] = kind
+        library = Lowercase()
+        strange = [c for c in text if unicodedata.category(c) == "Cn"]
+        if library.normalize_str("".join(strange)) != "".join(strange):
+            for c in strange:
+                lower = library.normalize_str(c)
+                if lower != c:
+                    self.capitals[ord(c)] = lower
+                    classes[ord(c) - first] |= _CAPITAL
+        self.table[first : first + _PAGE] = classes
 
 
 class BpeFile:
@@ -95,19 +120,18 @@ class BpeFile:
         }
         self.splitter = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
-    def encode_word(self, word: str) -> list[int]:
-        """Ids of one word.
+    def encode_word(self, data: bytes) -> list[int]:
+        """Ids of one word from its UTF-8 bytes.
 
         The symbols form a doubly linked list; a queue holds every pair that can merge by
         rank and place.  An entry whose pair has changed since is stale and skipped.
         """
-        data = word.encode()
         ids = [self.inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
         size = len(ids)
         if size == 1:
             return ids
-        merges, low = self.merges, (1 << 32) - 1
+        merges, low = self.merges, _LOW
         before = list(range(-1, size - 1))
         after = [*range(1, size), -1]
         queue = []
@@ -135,21 +159,152 @@ class BpeFile:
                     heapq.heappush(queue, (found >> 32, k, found & low))
         return [x for x in ids if x >= 0]
 
-    def encode_words(self, words: Sequence[str]) -> list[list[int]]:
-        return [self.encode_word(w) for w in words]
+    def encode_words(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([self.encode_word(w) for w in _cut(data, lengths)])
 
     def decode(self, ids: Sequence[int]) -> str:
         """Vocabulary strings one after another, with a blank between them."""
         return " ".join([self.strings[i] for i in ids])
 
 
-def _grown(array: np.ndarray, size: int) -> np.ndarray:
-    """The array with room for ``size`` items, doubled if it is too short."""
-    if size <= len(array):
-        return array
-    room = np.zeros(max(size, 2 * len(array)), array.dtype)
-    room[: len(array)] = array
-    return room
+def _cut(data: np.ndarray, lengths: np.ndarray) -> Iterator[bytes]:
+    whole, at = data.tobytes(), 0
+    for n in lengths.tolist():
+        yield whole[at : at + n]
+        at += n
+
+
+def _flat(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum())), counts
+
+
+class SideBySide:
+    """Merges many words at once, in numpy.
+
+    A step merges in every word the leftmost of its pairs of least rank, as the queue of
+    ``BpeFile.encode_word`` would.  Words of more than 32 bytes go through that queue.
+    """
+
+    def __init__(self, file: BpeFile):
+        self.file = file
+        self.inner, self.last = np.array(file.inner, np.int64), np.array(file.last, np.int64)
+        # A table of pairs; those that fall on a taken place go to the next, smaller one.
+        keys = np.fromiter(file.merges, np.int64, len(file.merges))
+        values = np.fromiter(file.merges.values(), np.int64, len(keys))
+        self.tables: list[tuple[int, np.ndarray, np.ndarray]] = []
+        bits = max(4, len(keys).bit_length() + 2)
+        while len(keys):
+            places = self._place(keys, bits)
+            first = np.unique(places, return_index=True)[1]
+            held, ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int64)
+            held[places[first]], ranks[places[first]] = keys[first], values[first]
+            self.tables.append((bits, held, ranks))
+            keys, values = np.delete(keys, first), np.delete(values, first)
+            bits = max(4, bits - 2)
+
+    @staticmethod
+    def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+        # An odd multiplier per table, so that pairs that clash in one part in the next.
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * bits)
+        return (spread >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``rank << 32 | merged`` of each pair, or ``_NONE``; a negative symbol has no pair."""
+        keys = np.where((left < 0) | (right < 0), -2, left << 32 | right)
+        found = np.full(len(keys), _NONE, np.int64)
+        for bits, held, ranks in self.tables:
+            places = self._place(keys, bits)
+            np.copyto(found, ranks[places], where=held[places] == keys)
+        return found
+
+    def encode_words(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum(lengths) - lengths
+        counts = np.zeros(len(lengths), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        least = 0
+        for most in _GROUPS:
+            rows = np.flatnonzero((lengths > least) & (lengths <= most))
+            least = most
+            if len(rows):
+                done += self._merge(data, starts[rows], lengths[rows], rows, counts)
+        for row in np.flatnonzero(lengths > least).tolist():
+            at = int(starts[row])
+            ids = np.array(self.file.encode_word(data[at : at + int(lengths[row])].tobytes()), np.int64)
+            counts[row] = len(ids)
+            done.append((np.array([row]), ids[:, None]))
+        begins = np.cumsum(counts) - counts
+        flat = np.zeros(int(counts.sum()), np.int32)
+        for rows, symbols in done:
+            size, begin = counts[rows], begins[rows]
+            for i in range(len(symbols)):
+                there = size > i
+                flat[begin[there] + i] = symbols[i, there]
+        return flat, counts
+
+    def _merge(
+        self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray, counts: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Symbols of words, place by place; ``counts`` gets their numbers."""
+        width = int(sizes.max())
+        places = np.arange(width)[:, None]
+        raw = data[np.minimum(starts + places, len(data) - 1)]
+        symbols = np.where(places < sizes - 1, self.inner[raw], self.last[raw])
+        symbols[places >= sizes] = -1
+        ranks = np.stack(
+            [self._ranks(symbols[i], symbols[i + 1]) for i in range(width - 1)]
+            or [np.full(len(rows), _NONE, np.int64)]
+        )
+        while True:
+            best = ranks.min(axis=0)
+            going = best != _NONE
+            if not going.all():
+                ended = ~going
+                counts[rows[ended]] = (symbols[:, ended] >= 0).sum(axis=0)
+                yield rows[ended], symbols[:, ended]
+                rows, symbols, ranks, best = rows[going], symbols[:, going], ranks[:, going], best[going]
+            if not len(rows):
+                return
+            at, column = np.argmin(ranks, axis=0), np.arange(len(rows))
+            # Everything behind the merged pair moves up by one place.
+            for i in range(1, len(symbols)):
+                np.copyto(symbols[i], symbols[i + 1] if i + 1 < len(symbols) else -1, where=at < i)
+            for i in range(1, len(ranks)):
+                np.copyto(ranks[i], ranks[i + 1] if i + 1 < len(ranks) else _NONE, where=at < i)
+            symbols[at, column] = best & _LOW
+            ranks[at, column] = self._ranks(
+                symbols[at, column], symbols[np.minimum(at + 1, len(symbols) - 1), column]
+            )
+            follows = np.flatnonzero(at)
+            before = at[follows] - 1
+            ranks[before, follows] = self._ranks(
+                symbols[before, follows], symbols[at[follows], follows]
+            )
+
+
+class WordCache:
+    """Ids of words by hash, one word at a place: a word that comes later takes the place."""
+
+    def __init__(self) -> None:
+        self.places = 1 << (max(CACHE_WORDS, 1) - 1).bit_length()
+        self.keys = np.zeros(self.places, np.uint64)
+        self.counts = np.zeros(self.places, np.int64)
+        self.ids = np.zeros((self.places, CACHE_IDS), np.int32)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key, and whether it is there."""
+        places = (keys & np.uint64(self.places - 1)).astype(np.int64)
+        return places, (self.keys[places] == keys) & (self.counts[places] > 0)
+
+    def add(self, keys: np.ndarray, places: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        # Of words for one place only one may go in, or its parts would mix.
+        chosen = np.unique(places, return_index=True)[1]
+        chosen = chosen[counts[chosen] <= CACHE_IDS]
+        starts, to = (np.cumsum(counts) - counts)[chosen], places[chosen]
+        self.keys[to], self.counts[to] = keys[chosen], counts[chosen]
+        for i in range(CACHE_IDS):
+            there = counts[chosen] > i
+            self.ids[to[there], i] = ids[starts[there] + i]
 
 
 class TextEncoder:
@@ -159,30 +314,19 @@ class TextEncoder:
         self.encode_words = encode_words
         self.special = special
         self.splitter = re.compile("|".join(map(re.escape, special))) if special else None
-        self.classes = _character_classes()
-        self.capitals = _unknown_capitals()
-        marks = "".join(map(chr, self.capitals)) or "\0"
-        self.has_capitals = re.compile(f"[{re.escape(marks)}]").search
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.starts = np.zeros(1024, np.int64)
-        self.sizes = np.zeros(1024, np.int64)
-        self.ids = np.zeros(4096, np.int32)
-        self.n_ids = 0
-
-    def _normal(self, text: str) -> str:
+        self.classes = CharacterClasses()
+        self.cache = WordCache()
+
+    @staticmethod
+    def _normal(text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        if not text.isascii() and self.has_capitals(text):
-            text = text.translate(self.capitals)
         # Lower case goes letter by letter, so a sigma at the end of a word is an ordinary one.
         return text.replace("Σ", "σ").lower()
 
-    def _words(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _words(points: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First place and length of each word."""
-        classes = self.classes[points]
         inside = classes != _SPACE
         begins = np.empty(len(points), bool)
         begins[0] = True
@@ -200,29 +344,6 @@ class TextEncoder:
         sizes = np.diff(np.append(np.flatnonzero(begins[inside]), np.count_nonzero(inside)))
         return starts, sizes
 
-    def _look_up(self, keys: np.ndarray, words: Callable[[list[int]], list[str]]) -> np.ndarray:
-        """Slot of each of the distinct ``keys``; ``words`` gives the strings of some."""
-        if len(self.slots) > CACHE_WORDS or self.n_ids > CACHE_IDS:
-            self._forget()
-        wanted = keys.tolist()
-        found = [self.slots.get(k, -1) for k in wanted]
-        missing = [i for i, slot in enumerate(found) if slot < 0]
-        if missing:
-            new = list(self.encode_words(words(missing)))
-            sizes = np.fromiter(map(len, new), np.int64, len(new))
-            n, total = len(self.slots), int(sizes.sum())
-            self.starts = _grown(self.starts, n + len(new))
-            self.sizes = _grown(self.sizes, n + len(new))
-            self.ids = _grown(self.ids, self.n_ids + total)
-            self.starts[n : n + len(new)] = self.n_ids + np.cumsum(sizes) - sizes
-            self.sizes[n : n + len(new)] = sizes
-            flat = np.fromiter(chain.from_iterable(new), np.int32, total)
-            self.ids[self.n_ids : self.n_ids + total] = flat
-            self.n_ids += total
-            for i in missing:
-                found[i] = self.slots[wanted[i]] = len(self.slots)
-        return np.array(found, np.int64)
-
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text as int32."""
         units, owners, fixed = [], [], {}
@@ -246,31 +367,52 @@ class TextEncoder:
                 parts[owner].append(np.array([fixed[n]], np.int32))
         return [np.concatenate(p) for p in parts]
 
+    def _points(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Code points of the texts, a line break after each, and their classes."""
+        points = np.frombuffer(("\n".join(units) + "\n").encode("utf-32-le"), np.uint32)
+        return points, self.classes.of(points)
+
     def _encode_units(self, units: list[str]) -> list[np.ndarray]:
-        block = "\n".join(units) + "\n"
-        points = np.frombuffer(block.encode("utf-32-le"), np.uint32)
-        starts, sizes = self._words(points)
+        points, classes = self._points(units)
+        if (classes >= _CAPITAL).any():
+            units = [u.translate(self.classes.capitals) for u in units]
+            points, classes = self._points(units)
+        starts, sizes = self._words(points, classes)
         limits = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)
         if not len(starts):
             return [np.zeros(0, np.int32) for _ in units]
-        hashes = segment_hashes(points[self.classes[points] != _SPACE], sizes)
+        hashes = segment_hashes(points[classes != _SPACE], sizes)
         keys, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-
-        def strings(chosen: list[int]) -> list[str]:
-            at = first[chosen]
-            begin = starts[at].tolist()
-            size = sizes[at].tolist()
-            return [block[b : b + s] for b, s in zip(begin, size, strict=True)]
-
-        slots = self._look_up(keys, strings)[place]
-        counts = self.sizes[slots]
-        ends = np.cumsum(counts)
-        source = np.repeat(self.starts[slots] - (ends - counts), counts) + np.arange(ends[-1])
-        ids = self.ids[source]
+        begins, counts, table = self._ids(keys, points, starts[first], sizes[first])
+        each = counts[place]
+        ends = np.cumsum(each)
+        ids = table[np.repeat(begins[place] - (ends - each), each) + np.arange(ends[-1])]
         words_before = np.searchsorted(starts, limits)
         edges = np.concatenate([[0], ends])[words_before]
         return np.split(ids, edges[:-1])
 
+    def _ids(
+        self, keys: np.ndarray, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and number of the ids of distinct words in a table, and the table."""
+        places, known = self.cache.look_up(keys)
+        old, new = np.flatnonzero(known), np.flatnonzero(~known)
+        begins, counts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        begins[old], counts[old] = np.arange(len(old)) * CACHE_IDS, self.cache.counts[places[old]]
+        table = self.cache.ids[places[old]].ravel()
+        if len(new):
+            ends = np.cumsum(sizes[new])
+            at = np.repeat(starts[new] - (ends - sizes[new]), sizes[new]) + np.arange(ends[-1])
+            chosen = points[at]
+            width = 1 + (chosen > 0x7F) + (chosen > 0x7FF) + (chosen > 0xFFFF)
+            data = np.frombuffer(chosen.tobytes().decode("utf-32-le").encode(), np.uint8)
+            lengths = np.add.reduceat(width.astype(np.int64), ends - sizes[new])
+            ids, counts[new] = self.encode_words(data, lengths)
+            begins[new] = len(table) + np.cumsum(counts[new]) - counts[new]
+            self.cache.add(keys[new], places[new], ids, counts[new])
+            table = np.concatenate([table, ids])
+        return begins, counts, table
+
 
 def own_encoder(path: str) -> tuple[TextEncoder, BpeFile]:
     """Encoder on the merge queue of this module, kept for the life of the worker."""
@@ -282,6 +424,16 @@ def own_encoder(path: str) -> tuple[TextEncoder, BpeFile]:
     return state[key]
 
 
+def fast_encoder(path: str) -> TextEncoder:
+    """Encoder that merges the words not met before side by side."""
+    state = worker_state()
+    key = f"fast {path}"
+    if key not in state:
+        file = BpeFile(path)
+        state[key] = TextEncoder(SideBySide(file).encode_words, file.special)
+    return state[key]
+
+
 def library_encoder(path: str) -> TextEncoder:
     """Encoder that asks the ``tokenizers`` library for words not met before."""
     state = worker_state()
@@ -294,9 +446,10 @@ def library_encoder(path: str) -> TextEncoder:
         library.no_padding()
         special = {t.content: n for n, t in library.get_added_tokens_decoder().items()}
 
-        def encode_words(words: Sequence[str]) -> list[list[int]]:
+        def encode_words(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             # In this tokenizer a word is encoded on its own as it is inside a text.
-            return [x.ids for x in library.encode_batch_fast(words, add_special_tokens=False)]
+            words = [w.decode() for w in _cut(data, lengths)]
+            return _flat([x.ids for x in library.encode_batch_fast(words, add_special_tokens=False)])
 
         state[key] = TextEncoder(encode_words, special)
     return state[key]

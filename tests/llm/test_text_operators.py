@@ -120,6 +120,39 @@ def test_encoder_starts_anew_when_full(monkeypatch):
     assert [own.encode([t])[0].tolist() for t in texts] == expected
 
 
+@given(st.lists(st.text(alphabet="aeinrst'é日1- ", max_size=60), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_side_by_side_merging_equals_the_library(texts):
+    fast, library = word_bpe.fast_encoder(PATH), tokenizers.Tokenizer.from_file(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in fast.encode(texts)] == expected
+
+
+def test_fast_encoder_with_a_full_cache_and_odd_texts(monkeypatch):
+    monkeypatch.setattr(word_bpe, "CACHE_WORDS", 4)
+    fast = word_bpe.fast_encoder(PATH)
+    small = word_bpe.TextEncoder(fast.encode_words, fast.special)
+    texts = [*[t or "" for t in TEXTS], *ODD, *[f"word{i} other{i} unforgettable{i}" for i in range(50)]]
+    library = tokenizers.Tokenizer.from_file(PATH)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for encoder in (small, fast):
+        assert [x.tolist() for x in encoder.encode(texts)] == expected
+        assert [encoder.encode([t])[0].tolist() for t in texts] == expected
+
+
+def test_character_classes_cover_every_page():
+    classes = word_bpe.CharacterClasses()
+    every = classes.of(np.arange(0x110000))
+    assert not (every == word_bpe._UNKNOWN).any()
+    assert every[ord("a")] != every[ord("1")] != every[ord(" ")]
+
+
+def test_bpe_of_an_empty_table(spark):
+    none = _documents(spark, TEXTS).filter("false")
+    assert bpe.encode(none, PATH, decoded=True).count() == 0
+    assert bpe.decode(bpe.encode(none, PATH), PATH).count() == 0
+
+
 def _hash_of(word):
     data = np.frombuffer(word.encode(), np.uint8)
     return int(hashing.words(data, np.array([0, len(data)]), lower=True).hashes[0])
