@@ -1,7 +1,9 @@
 """Lexical retrieval packing: fixed windows filled with documents that share rare words.
 
 Documents are dealt into ordered ranges of about equal text size, so a frequent source is
-split over many tasks.  A task reads its range in shards of a bounded number of ids.  In a
+split over many tasks.  Within a source they are ordered by a signature of their words, the
+least word hash: two documents have it in common with the chance of their words' similarity,
+so like documents come into the same range at any size of the corpus.  A task reads its range in shards of a bounded number of ids.  In a
 shard a BM25 inverted index over the ids gives the unused neighbours of each seed document,
 which fill the seed's window greedily; the last one is cut to size.  Whatever does not fill a
 window moves on to the next shard, so only the last window of a range has padding.
@@ -197,19 +199,23 @@ def pack(
     Returns ``id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (long) and, on
     request, ``ids`` (little-endian unsigned 32-bit).  Documents with equal ``locality``
     columns come into the same ranges.  A null or empty text is its closing id alone; a null
-    id stays null; repeated rows are documents of their own; an empty table has no pieces.
-    Other columns are not read.
+    id stays null; repeated rows are documents of their own, dealt over as many ranges as they
+    need only where id or text differ; an empty table has no pieces.  Other columns are not read.
     """
     rules = rules or Packing()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    chars = df.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
+    chars = df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     tasks = min(max(1, math.ceil(chars / rules.task_chars)), rules.most_tasks)
+    word_hashes = F.transform(F.split(F.lower(text), " "), lambda w: F.xxhash64(w))
     near = [F.col(c).alias(f"_near{i}") for i, c in enumerate(locality)]
     order = [f"_near{i}" for i in range(len(near))]
     ranged = (
-        df.select(F.col(id_col), text.alias("_text"), *near, F.xxhash64(id_col).alias("_dealt"))
-        .repartitionByRange(tasks, *order, "_dealt")
-        .sortWithinPartitions(*order, "_dealt", "_text")
+        df.select(
+            F.col(id_col), text.alias("_text"), *near, F.array_min(word_hashes).alias("_like"),
+            F.xxhash64(id_col, text).alias("_dealt"),
+        )
+        .repartitionByRange(tasks, *order, "_like", "_dealt")
+        .sortWithinPartitions(*order, "_like", "_dealt", "_text")
     )
     kind = dict(df.select(id_col).dtypes)[id_col]
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
