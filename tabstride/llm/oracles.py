@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tabstride.llm.importance import Resampling
+from tabstride.llm.interactions import Filters
 from tabstride.llm.licenses import scan_sql
 from tabstride.llm.quality import QualityRules
 
@@ -58,8 +60,96 @@ def quality_sql(source: str = "documents", rules: QualityRules = _RULES) -> str:
             FROM q_base b {joins} LEFT JOIN q_line ON q_line.doc_id = b.doc_id)"""
 
 
+def resample_sql(rules: Resampling | None = None) -> str:
+    """The importance draw over ``documents`` towards ``benchmark``, for features of one word."""
+    rules = rules or Resampling()
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    noise = f"('0x' || substr(sha256('{rules.seed}:' || doc_id), 1, 8))::BIGINT"
+    return f"""WITH d_words AS (SELECT doc_id, {words} AS ws FROM documents),
+        d AS (SELECT doc_id, unnest(ws) AS w FROM d_words),
+        b AS (SELECT unnest({words}) AS w FROM benchmark),
+        crc_step AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 1, 2, 3, 4, 5, 6, 7, 8],
+            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        vocabulary AS (SELECT DISTINCT w FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+        spelled AS (SELECT w, list_transform(range(octet_length(encode(w))),
+            lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT) AS bytes FROM vocabulary),
+        hashed AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) % {rules.buckets} AS bucket
+            FROM spelled CROSS JOIN crc_step),
+        s AS (SELECT bucket, count(*) AS n FROM d JOIN hashed USING (w) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM b JOIN hashed USING (w) GROUP BY bucket),
+        gains AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE
+              * ((SELECT coalesce(sum(n), 0) FROM s) + {rules.buckets})::DOUBLE
+              / ((coalesce(s.n, 0) + 1)::DOUBLE
+                 * ((SELECT coalesce(sum(n), 0) FROM t) + {rules.buckets})::DOUBLE)))::BIGINT AS gain
+            FROM (SELECT unnest(range({rules.buckets})) AS bucket) k
+            LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+        weights AS (SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM d JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + floor(-1000 * ln(-ln(({noise} + 0.5::DOUBLE) / 4294967296)))::BIGINT
+                AS score FROM d_words LEFT JOIN weights USING (doc_id)),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r,
+              count(*) OVER () AS n FROM scored WHERE n_features >= {rules.least_words})
+        SELECT doc_id, n_features, weight, score,
+          CASE WHEN r <= {rules.percent} * n // 100 THEN r END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+def audit_sql(filters: Filters | None = None) -> str:
+    """Steps of all orders of the five filters over ``documents`` and ``labels``."""
+    filters = filters or Filters()
+    letters = list(filters.names)
+    orders = " ".join(f"CROSS JOIN (SELECT unnest({letters}) AS f{i})" for i in range(1, 5))
+    apart = " AND ".join(f"f{i} <> f{j}" for i in range(5) for j in range(i))
+    joined = " || ".join(f"f{i}" for i in range(5))
+    fails = f"""CASE substr(filter_order, step, 1) WHEN '{letters[0]}' THEN mask & 1
+        WHEN '{letters[1]}' THEN (mask >> 1) & 1 WHEN '{letters[2]}' THEN (mask >> 2) & 1
+        WHEN '{letters[3]}' THEN (mask >> 3) & 1 ELSE (mask >> 4) & 1 END = 1"""
+    return f"""WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text
+            FROM documents),
+        measured AS (SELECT doc_id, part, text, regexp_extract_all(text, '{WORD}') AS ws,
+              min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
+        masks AS (SELECT doc_id, part,
+              (len(ws) < {filters.least_words})::INT
+              + 2 * (100 * len(list_distinct(ws)) < {filters.distinct_percent} * len(ws))::INT
+              + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g'))
+                     > {filters.capital_percent} * length(text))::INT
+              + 8 * regexp_matches(text, '[{filters.marks}]')::INT
+              + 16 * (first < doc_id)::INT AS mask FROM measured),
+        cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+              count(*) FILTER (WHERE toxic = 1) AS toxic
+            FROM masks LEFT JOIN labels USING (doc_id) GROUP BY part, mask),
+        orders AS (SELECT {joined} AS filter_order FROM (SELECT unnest({letters}) AS f0) {orders}
+            WHERE {apart}),
+        steps AS (SELECT filter_order, step FROM orders CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        judged AS (SELECT part, filter_order, step, n, good, toxic, {fails} AS fails,
+              bit_count(mask) = 1 AS single,
+              list_bool_or(list_transform(range(1, step), lambda k:
+                (mask >> (strpos('{filters.names}', substr(filter_order, k, 1)) - 1)::INT) & 1 = 1)) AS gone
+            FROM steps CROSS JOIN cells),
+        told AS (SELECT part, filter_order, step,
+              coalesce(sum(n) FILTER (WHERE NOT fails AND NOT coalesce(gone, false)), 0) AS kept,
+              coalesce(sum(n) FILTER (WHERE fails AND NOT coalesce(gone, false)), 0) AS removed,
+              coalesce(sum(n) FILTER (WHERE fails AND coalesce(gone, false)), 0) AS redundant,
+              coalesce(sum(n) FILTER (WHERE fails AND single), 0) AS unique_fails,
+              coalesce(sum(good) FILTER (WHERE fails AND NOT coalesce(gone, false)), 0) AS good_lost,
+              coalesce(sum(toxic) FILTER (WHERE fails AND NOT coalesce(gone, false)), 0) AS toxic_lost
+            FROM judged GROUP BY part, filter_order, step)
+        SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+          redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+          good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+          (sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)))::BIGINT AS shapley
+        FROM told"""
+
+
 ORACLES = {
     "op4_license_scan": scan_sql(),
+    "op11_importance_resampling": resample_sql(),
+    "op12_filter_audit": audit_sql(),
     "op6_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
           CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstride.llm import bpe, embeddings, html, licenses, neardup, packing, quality, quotes, spans, urls
+from tabstride.llm import (
+    bpe, config_packing, embeddings, html, importance, interactions, licenses, neardup, packing,
+    quality, quotes, spans, urls,
+)
 from tabstride.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -66,6 +69,20 @@ def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embeddings.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return interactions.filter_audit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return config_packing.pack_best_fit(_documents(spark, sf), path, with_ids=False)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,5 +96,8 @@ QUERIES = {
         op8_url_filter,
         op9_quotation_linking,
         op10_embedding_dedup,
+        op11_importance_resampling,
+        op12_filter_audit,
+        op13_best_fit_packing,
     )
 }
