@@ -206,12 +206,13 @@ def pack(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     chars = df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     tasks = min(max(1, math.ceil(chars / rules.task_chars)), rules.most_tasks)
+    # Hashed once more: the least of many hashes is small, which would order by length.
     word_hashes = F.transform(F.split(F.lower(text), " "), lambda w: F.xxhash64(w))
     near = [F.col(c).alias(f"_near{i}") for i, c in enumerate(locality)]
     order = [f"_near{i}" for i in range(len(near))]
     ranged = (
         df.select(
-            F.col(id_col), text.alias("_text"), *near, F.array_min(word_hashes).alias("_like"),
+            F.col(id_col), text.alias("_text"), *near, F.xxhash64(F.array_min(word_hashes)).alias("_like"),
             F.xxhash64(id_col, text).alias("_dealt"),
         )
         .repartitionByRange(tasks, *order, "_like", "_dealt")
