@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from itertools import product
+from math import ceil
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import PredictionModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabstride.constants import FOLDS, FOREST_GRID, SEED
+from tabstride.operators.running import running_totals
 from tabstride.operators.splits import kfold
+from tabstride.session import scratch_path
 
 SEARCHED = list(FOREST_GRID)
-# Parts that the rows of a fit are dealt into by key.  Bagging works part by part, so this
-# belongs to the model like a seed; raise it for more rows than eight tasks can hold.
-FIT_PARTITIONS = 8
+# Rows of a part of a fit, and parts at least.  Bagging works part by part, so the number of
+# parts belongs to the model like a seed; it follows from the number of rows alone.
+PART_ROWS = 250_000
+LEAST_PARTS = 8
+
 
+def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Rows placed and ordered by key, so that a seeded fit does not depend on the input files.
 
-def fixed_layout(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows placed and ordered by key, so that a seeded fit does not depend on the input files."""
+    Without ``partitions`` there are as many as the rows need.
+    """
+    partitions = partitions or max(LEAST_PARTS, ceil(df.count() / PART_ROWS))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -35,7 +51,7 @@ def rf_fit(
     params: Mapping | None = None,
     seed: int = SEED,
     key: str = "id",
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
 ) -> RandomForestClassificationModel:
     """Fit a forest on ``features, label`` in a layout fixed by ``key``."""
     # Several passes read the rows: metadata, split candidates, then the trees.
@@ -56,34 +72,163 @@ def param_grid(
     return builder.build()
 
 
+@dataclass(frozen=True)
+class NodeTable:
+    """The nodes of a forest's trees, tree after tree; a leaf is its own child."""
+
+    roots: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    share: np.ndarray
+    depth: int
+
+    def votes(self, rows: np.ndarray, trees: Sequence[int]) -> np.ndarray:
+        """Probability of class 1 by the first so many trees, a column for each number."""
+        every, number = np.arange(len(rows)), 0
+        total, out = np.zeros(len(rows)), np.empty((len(rows), len(trees)))
+        for i in np.argsort(trees, kind="stable").tolist():
+            while number < min(trees[i], len(self.roots)):
+                at = np.full(len(rows), self.roots[number])
+                for _ in range(self.depth):
+                    lower = rows[every, self.feature[at]] <= self.threshold[at]
+                    at = np.where(lower, self.left[at], self.right[at])
+                total += self.share[at]
+                number += 1
+            out[:, i] = total / number
+        return out
+
+
+def node_table(model: RandomForestClassificationModel) -> NodeTable:
+    """Read a forest of two classes over continuous features from its saved form.
+
+    At most ``numTrees * 2 ** (maxDepth + 1)`` nodes reach the driver.
+    """
+    spark = SparkSession.active()
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), "nodeData.id", F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"), "nodeData.split.featureIndex",
+        F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"),
+        "nodeData.split.numCategories", "nodeData.impurityStats",
+    ).toPandas().sort_values(["tree", "id"], ignore_index=True)
+    leaf = nodes["left"].to_numpy() < 0
+    if (nodes["numCategories"].to_numpy()[~leaf] >= 0).any():
+        raise ValueError("The forest splits on categories")
+    stats = np.stack(nodes["impurityStats"].to_numpy())
+    if stats.shape[1] != 2:
+        raise ValueError("The forest must have two classes")
+    tree = nodes["tree"].to_numpy()
+    first = np.searchsorted(tree, tree)  # place of the node's root; ids count from 0 in a tree
+    here = np.arange(len(nodes))
+    left, right = (np.where(leaf, here, first + nodes[c].to_numpy()) for c in ("left", "right"))
+    return NodeTable(
+        np.unique(first), np.where(leaf, 0, nodes["featureIndex"]).astype(np.int64),
+        np.where(leaf, 0.0, nodes["threshold"]).astype(float), left, right,
+        stats[:, 1] / stats.sum(axis=1), model.getMaxDepth(),
+    )
+
+
+def fold_areas(scored: DataFrame) -> DataFrame:
+    """Exact ROC area per ``fold`` and ``setting`` of rows with ``label, prob``.
+
+    Null where a fold has rows of one class only.
+    """
+    keys = ["fold", "setting"]
+    counts = scored.groupBy(*keys, "prob").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+    ranked = running_totals(counts, [F.col("prob")], ["neg"], keys)
+    wins = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
+    pairs = F.sum("pos") * F.sum("neg")
+    return ranked.groupBy(*keys).agg(F.when(pairs > 0, wins / pairs).alias("area"))
+
+
 def rf_cross_validate(
     df: DataFrame,
     grid: Mapping[str, Sequence] = FOREST_GRID,
     folds: int = FOLDS,
     seed: int = SEED,
     key: str = "id",
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Search the grid by mean ROC area over hash folds; the best setting is refitted."""
+    """Search the grid by mean ROC area over hash folds; the best setting is refitted.
+
+    Per fold and combination of the other values one forest is fitted, of the most trees asked
+    for.  Smaller forests are prefixes of it: its first trees, which are drawn alike.  All
+    settings of all folds are scored in one pass over the rows, by votes summed tree by tree,
+    and all areas are exact.  A fold without both classes has no area and no part in the mean.
+    """
     forest = _forest(seed)
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
-    )
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=param_grid(forest, grid),
-        evaluator=evaluator,
-        numFolds=folds,
-        parallelism=parallelism,
-        foldCol="fold",
-    )
+    settings = param_grid(forest, grid)
+    values = [{p.name: v for p, v in s.items()} for s in settings]
+    sizes = sorted(set(grid.get("numTrees", [forest.getNumTrees()])))
+    others = [n for n in grid if n != "numTrees"]
+    fits = [dict(zip(others, v, strict=True)) for v in product(*[grid[n] for n in others])]
+    column = {
+        (tuple(f.items()), n): i * len(sizes) + j
+        for i, f in enumerate(fits) for j, n in enumerate(sizes)
+    }
     folded = kfold(df.select(key, "features", "label"), key, folds, seed)
     placed = fixed_layout(folded, key, partitions).persist()
+
+    def fitted(task: tuple[int, dict]) -> NodeTable:
+        fold, params = task
+        train = placed.filter(F.col("fold") != fold)
+        return node_table(_forest(seed, params | {"numTrees": sizes[-1]}).fit(train))
+
     try:
-        return search.fit(placed)
+        placed.count()
+        tasks = [(fold, params) for fold in range(folds) for params in fits]
+        with ThreadPool(parallelism) as pool:
+            tables = pool.map(inheritable_thread_target(df.sparkSession)(fitted), tasks, chunksize=1)
+        shared = df.sparkSession.sparkContext.broadcast(
+            [tables[i * len(fits) : (i + 1) * len(fits)] for i in range(folds)]
+        )
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fold = batch.column("fold").to_numpy()
+                for f in np.unique(fold).tolist():
+                    rows = np.flatnonzero(fold == f)
+                    lists = batch.column("x").take(pa.array(rows))
+                    x = lists.flatten().to_numpy().reshape(len(rows), -1)
+                    label = batch.column("label").take(pa.array(rows))
+                    for i, table in enumerate(shared.value[f]):
+                        for j, prob in enumerate(table.votes(x, sizes).T):
+                            setting = np.full(len(rows), i * len(sizes) + j, np.int32)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(fold[rows]), pa.array(setting), label, pa.array(prob)],
+                                ["fold", "setting", "label", "prob"],
+                            )
+
+        inputs = placed.select("fold", F.col("label").cast("int").alias("label"),
+                               vector_to_array("features").alias("x"))
+        scored = inputs.mapInArrow(score, "fold int, setting int, label int, prob double")
+        measured: dict[int, list[float]] = {}
+        for row in fold_areas(scored).collect():  # one row per setting and fold
+            if row["area"] is not None:
+                measured.setdefault(row["setting"], []).append(row["area"])
+        if not measured:
+            raise ValueError("No fold has rows of both classes")
+        areas = [
+            measured[column[tuple((n, v[n]) for n in others), v.get("numTrees", sizes[-1])]]
+            for v in values
+        ]
+        means = [float(np.mean(a)) for a in areas]
+        best = _forest(seed, values[int(np.argmax(means))]).fit(placed)
     finally:
         placed.unpersist()
+    search = CrossValidator(
+        estimator=forest, estimatorParamMaps=settings, numFolds=folds, parallelism=parallelism,
+        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0), foldCol="fold",
+    )
+    return search._copyValues(
+        CrossValidatorModel(best, means, stdMetrics=[float(np.std(a)) for a in areas])
+    )
 
 
 def best_params(model: CrossValidatorModel) -> dict[str, float]:

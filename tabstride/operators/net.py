@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
@@ -23,7 +24,10 @@ from tabstride.constants import (
     SEED,
 )
 from tabstride.functions import column_value, named, sigmoid
-from tabstride.operators.forest import FIT_PARTITIONS
+
+# Rows of a lane, and of a task that trains several lanes, unless given.
+LANE_ROWS = 4096
+TASK_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -181,38 +185,68 @@ def _unflatten(flat: np.ndarray, like) -> tuple:
     return tuple(pairs)
 
 
-def _lane_epoch(layers, moments, step: int, rate: float, batch_size: int, feats: Sequence[str]):
-    """Task function: one epoch of Adam over the rows of a lane, in batches of ``batch_size``.
+class _Lane:
+    """One epoch of Adam over the rows of a lane, in batches of ``batch_size``."""
 
-    Hands on weights and moments times the lane's rows, then loss sum, rows and steps.
-    """
+    def __init__(self, layers, moments, step: int, rate: float, batch_size: int):
+        self.layers, self.flat = layers, _flatten(layers)
+        self.first, self.second = moments
+        self.start = self.step = step
+        self.rate, self.batch_size = rate, batch_size
+        self.loss, self.seen = 0.0, 0
+        self.rest: np.ndarray | None = None
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, flat = layers, _flatten(layers)
-        first, second = moments[0].copy(), moments[1].copy()
+    def add(self, rows: np.ndarray, last: bool = False) -> None:
+        """Features and label of the next rows; what does not fill a batch waits for more."""
+        rows = rows if self.rest is None else np.concatenate([self.rest, rows])
+        size = self.batch_size
+        whole = len(rows) if last else len(rows) - len(rows) % size
+        for at in range(0, whole, size):
+            self._learn(rows[at : min(at + size, whole)])
+        self.rest = rows[whole:]
+
+    def _learn(self, rows: np.ndarray) -> None:
         # Adam decay rates and guard: fixed values.
         beta1, beta2, tiny = 0.9, 0.999, 1e-8
-        done, loss, seen = step, 0.0, 0
-        rest = None
-        for frame in chain(frames, [None]):
-            if frame is not None:
-                rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            size = 0 if rest is None else len(rest)
-            whole = size if frame is None else size - size % batch_size
-            for at in range(0, whole, batch_size):
-                part = rest.iloc[at : min(at + batch_size, whole)]
-                sums = _gradient(now, part[list(feats)].to_numpy(float), part["label"].to_numpy(float))
-                gradient = sums[:-1] / len(part)
-                done += 1
-                first = beta1 * first + (1 - beta1) * gradient
-                second = beta2 * second + (1 - beta2) * gradient**2
-                drift = first / (1 - beta1**done)
-                flat = flat - rate * drift / (np.sqrt(second / (1 - beta2**done)) + tiny)
-                now = _unflatten(flat, now)
-                loss, seen = loss + sums[-1], seen + len(part)
-            rest = None if rest is None else rest.iloc[whole:]
-        total = np.concatenate([seen * flat, seen * first, seen * second, [loss, seen, done - step]])
-        yield pd.DataFrame({"slot": np.arange(len(total)), "total": total})
+        sums = _gradient(self.layers, rows[:, :-1], rows[:, -1])
+        gradient = sums[:-1] / len(rows)
+        self.step += 1
+        self.first = beta1 * self.first + (1 - beta1) * gradient
+        self.second = beta2 * self.second + (1 - beta2) * gradient**2
+        drift = self.first / (1 - beta1**self.step)
+        self.flat = self.flat - self.rate * drift / (np.sqrt(self.second / (1 - beta2**self.step)) + tiny)
+        self.layers = _unflatten(self.flat, self.layers)
+        self.loss, self.seen = self.loss + sums[-1], self.seen + len(rows)
+
+    def result(self) -> np.ndarray:
+        """Weights and moments times rows, then loss sum, rows, steps and one lane."""
+        self.add(self.rest[:0], last=True)
+        parts = [self.seen * v for v in (self.flat, self.first, self.second)]
+        return np.concatenate([*parts, [self.loss, self.seen, self.step - self.start, 1]])
+
+
+def _lane_epochs(layers, moments, step: int, rate: float, batch_size: int):
+    """Task function: every lane of the task starts at the common weights; results are summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(3 * len(moments[0]) + 4)
+        lane, number = None, None
+        for batch in batches:
+            lanes = batch.column("_lane").to_numpy()
+            rows = np.column_stack(
+                [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+            ).astype(float)
+            edges = [0, *(np.flatnonzero(np.diff(lanes)) + 1).tolist(), len(lanes)]
+            for at, to in zip(edges[:-1], edges[1:]):
+                if at == to:
+                    continue
+                if lane is None or lanes[at] != number:
+                    total += lane.result() if lane else 0
+                    lane, number = _Lane(layers, moments, step, rate, batch_size), lanes[at]
+                lane.add(rows[at:to])
+        total += lane.result() if lane else 0
+        slots = np.arange(len(total), dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total)], ["slot", "total"])
 
     return run
 
@@ -226,52 +260,65 @@ def mlp_fit(
     epochs: int = NET_EPOCHS,
     learning_rate: float = NET_LEARNING_RATE,
     batch_size: int = NET_BATCH_SIZE,
-    lanes: int = FIT_PARTITIONS,
+    lanes: int | None = None,
     seed: int = SEED,
+    partitions: int | None = None,
 ) -> tuple[NetWeights, list[float]]:
     """Train with Adam on the cross-entropy; returns the weights and the loss per epoch.
 
-    Rows are dealt by key into ``lanes`` and ordered by a hash of it.  In an epoch every lane
-    takes its rows once in batches of ``batch_size`` from the common weights on; then weights
-    and moments are averaged, each lane counting by its rows.  One pass and one small result
-    per epoch.  ``lanes`` belongs to the model like the seed: the input's files and
-    partitions do not matter.  With one lane this is plain mini-batch training.
+    Rows are dealt by a hash of the key into ``lanes`` and ordered by it.  In an epoch every
+    lane takes its rows once in batches of ``batch_size`` from the common weights on; then
+    weights and moments are averaged, over the lanes of a task and over tasks, each lane
+    counting by its rows.  One pass and one small result per task and epoch.
+
+    ``lanes`` belongs to the model like the seed.  Unless given it follows from the number of
+    rows, ``LANE_ROWS`` to a lane, so lanes stay small and their number grows.  Files and
+    ``partitions``, the tasks that share the lanes out, do not matter.  One lane is plain
+    mini-batch training.
     """
     layers = NetWeights.random([len(feats), *hidden, 1], seed).layers
     size = len(_flatten(layers))
     moments = np.zeros(size), np.zeros(size)
+    narrow = df.select(
+        *[named(f).cast("double").alias(f"x{i}") for i, f in enumerate(feats)],
+        named(label).cast("double").alias("label"),
+        F.xxhash64(named(key), F.lit(seed)).alias("_hash"),
+        named(key).alias("_key"),
+    )
+    n_rows = narrow.count() if lanes is None or partitions is None else 0
+    lanes = lanes or max(1, ceil(n_rows / LANE_ROWS))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    partitions = partitions or min(lanes, max(cores, ceil(n_rows / TASK_ROWS)))
+    lane = F.pmod("_hash", F.lit(lanes)).cast("int")
+    inputs = [F.col(f"x{i}") for i in range(len(feats))]
     rows = (
-        df.select(
-            *[named(f).cast("double").alias(f) for f in feats],
-            named(label).cast("double").alias("label"),
-            named(key).alias("_key"),
-        )
-        .repartition(lanes, "_key")
-        .sortWithinPartitions(F.xxhash64("_key", F.lit(seed)), "_key")
-        .drop("_key")
+        narrow.withColumn("_lane", lane)
+        .repartition(partitions, "_lane")
+        .sortWithinPartitions("_lane", "_hash", "_key")
+        .select("_lane", *inputs, "label")
         .persist()
     )
     losses, step = [], 0
     try:
         for _ in range(epochs):
             sums = (
-                rows.mapInPandas(
-                    _lane_epoch(layers, moments, step, learning_rate, batch_size, feats),
+                rows.mapInArrow(
+                    _lane_epochs(layers, moments, step, learning_rate, batch_size),
                     "slot int, total double",
                 )
                 .groupBy("slot")
                 .agg(F.sum("total").alias("total"))
             )
-            total = np.zeros(3 * size + 3)
+            total = np.zeros(3 * size + 4)
             for r in sums.collect():
                 total[r["slot"]] = r["total"]
-            loss, seen, steps = total[-3:]
+            loss, seen, steps, filled = total[-4:]
             if not seen:
                 return NetWeights(layers), [float("nan")] * epochs
             losses.append(loss / seen)
-            flat, *moments = (total[:-3] / seen).reshape(3, size)
+            flat, *moments = (total[:-4] / seen).reshape(3, size)
             layers = _unflatten(flat, layers)
-            step += max(1, round(steps / lanes))
+            step += max(1, round(steps / filled))
     finally:
         rows.unpersist()
     return NetWeights(layers), losses

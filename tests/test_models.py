@@ -201,3 +201,51 @@ def test_scoring_a_stream_equals_scoring_a_batch(spark, rows, tmp_path):
     got = spark.read.parquet(sink).orderBy("id").toPandas()
     expected = score_batch(rows, NAMES, fitted, net).orderBy("id").toPandas()
     pd.testing.assert_frame_equal(got, expected)
+
+
+def test_prefix_votes_are_those_of_the_forest(vectors):
+    model = RF.rf_fit(vectors, {"numTrees": 7, "maxDepth": 5, "minInstancesPerNode": 2})
+    table = RF.node_table(model)
+    rows = positive_prob(RF.predict_forest(model, vectors), "prob").select("features", "prob").toPandas()
+    x = np.stack([v.toArray() for v in rows["features"]])
+    votes = table.votes(x, [7, 3])
+    np.testing.assert_allclose(votes[:, 0], rows["prob"], atol=1e-12)
+    trees = [[t.predictProbability(v)[1] for t in model.trees[:3]] for v in rows["features"][:20]]
+    np.testing.assert_allclose(votes[:20, 1], np.mean(trees, axis=1), atol=1e-12)
+
+
+def test_areas_of_folds_are_exact(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({
+        "fold": rng.integers(0, 2, 400), "setting": rng.integers(0, 3, 400),
+        "label": rng.integers(0, 2, 400), "prob": rng.integers(0, 9, 400) / 8.0})
+    pdf.loc[pdf["setting"] == 2, "label"] = 1
+    for r in RF.fold_areas(spark.createDataFrame(pdf)).collect():
+        part = pdf[(pdf["fold"] == r["fold"]) & (pdf["setting"] == r["setting"])]
+        pos, neg = (part.loc[part["label"] == v, "prob"].to_numpy() for v in (1, 0))
+        if not len(neg):
+            assert r["area"] is None
+            continue
+        wins = (pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2
+        assert r["area"] == pytest.approx(wins / (len(pos) * len(neg)))
+
+
+def test_lanes_do_not_depend_on_tasks(rows):
+    def weights(partitions, lanes):
+        net, _ = N.mlp_fit(rows, NAMES, epochs=3, lanes=lanes, partitions=partitions)
+        return N._flatten(net.layers)
+
+    first = weights(1, 64)
+    for partitions in (4, 13):
+        np.testing.assert_allclose(weights(partitions, 64), first, rtol=1e-6, atol=1e-9)
+    np.testing.assert_allclose(weights(4, 1), weights(1, 1), rtol=1e-6, atol=1e-9)
+
+
+def test_parts_and_lanes_grow_with_the_rows(rows, monkeypatch):
+    monkeypatch.setattr(RF, "PART_ROWS", 100)
+    assert RF.fixed_layout(rows, "id").rdd.getNumPartitions() == 12
+    monkeypatch.setattr(N, "LANE_ROWS", 100)
+    seen = []
+    monkeypatch.setattr(N, "_unflatten", lambda flat, like, real=N._unflatten: seen.append(1) or real(flat, like))
+    N.mlp_fit(rows, NAMES, epochs=2)
+    assert len(seen) == 2
