@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from math import ceil
 from multiprocessing.pool import ThreadPool
@@ -84,6 +84,26 @@ class NodeTable:
     share: np.ndarray
     depth: int
 
+    def cut(self, depth: int) -> NodeTable:
+        """The trees down to ``depth``; leaves of one parent and one class become their parent.
+
+        That is how a forest of this depth is grown: splits do not look below themselves, and
+        Spark prunes in this way.
+        """
+        here = np.arange(len(self.left))
+        left, right = self.left.copy(), self.right.copy()
+        levels = [self.roots]
+        for _ in range(depth):
+            inner = levels[-1][left[levels[-1]] != levels[-1]]
+            levels.append(np.concatenate([left[inner], right[inner]]))
+        left[levels[-1]] = right[levels[-1]] = levels[-1]
+        active = self.share > 0.5
+        for level in reversed(levels[:-1]):
+            a, b = left[level], right[level]
+            same = (left[a] == a) & (left[b] == b) & (active[a] == active[b])
+            left[level[same]] = right[level[same]] = here[level[same]]
+        return replace(self, left=left, right=right, depth=min(depth, self.depth))
+
     def votes(self, rows: np.ndarray, trees: Sequence[int]) -> np.ndarray:
         """Probability of class 1 by the first so many trees, a column for each number."""
         every, number = np.arange(len(rows)), 0
@@ -157,28 +177,29 @@ def rf_cross_validate(
 ) -> CrossValidatorModel:
     """Search the grid by mean ROC area over hash folds; the best setting is refitted.
 
-    Per fold and combination of the other values one forest is fitted, of the most trees asked
-    for.  Smaller forests are prefixes of it: its first trees, which are drawn alike.  All
-    settings of all folds are scored in one pass over the rows, by votes summed tree by tree,
-    and all areas are exact.  A fold without both classes has no area and no part in the mean.
+    Per fold and combination of the other values one forest is fitted, of the most trees and
+    the greatest depth asked for.  Smaller forests are prefixes of it: its first trees, which
+    are drawn alike, cut at their depth.  All settings of all folds are scored in one pass over
+    the rows, by votes summed tree by tree, and all areas are exact.  A fold without both
+    classes has no area and no part in the mean.
     """
     forest = _forest(seed)
     settings = param_grid(forest, grid)
     values = [{p.name: v for p, v in s.items()} for s in settings]
     sizes = sorted(set(grid.get("numTrees", [forest.getNumTrees()])))
-    others = [n for n in grid if n != "numTrees"]
+    depths = sorted(set(grid.get("maxDepth", [forest.getMaxDepth()])))
+    others = [n for n in grid if n not in ("numTrees", "maxDepth")]
     fits = [dict(zip(others, v, strict=True)) for v in product(*[grid[n] for n in others])]
-    column = {
-        (tuple(f.items()), n): i * len(sizes) + j
-        for i, f in enumerate(fits) for j, n in enumerate(sizes)
-    }
+    shapes = list(product(fits, depths, sizes))
+    largest = {"numTrees": sizes[-1], "maxDepth": depths[-1]}
+
     folded = kfold(df.select(key, "features", "label"), key, folds, seed)
     placed = fixed_layout(folded, key, partitions).persist()
 
-    def fitted(task: tuple[int, dict]) -> NodeTable:
+    def fitted(task: tuple[int, dict]) -> list[NodeTable]:
         fold, params = task
-        train = placed.filter(F.col("fold") != fold)
-        return node_table(_forest(seed, params | {"numTrees": sizes[-1]}).fit(train))
+        table = node_table(_forest(seed, params | largest).fit(placed.filter(F.col("fold") != fold)))
+        return [table.cut(depth) for depth in depths]
 
     try:
         placed.count()
@@ -186,7 +207,7 @@ def rf_cross_validate(
         with ThreadPool(parallelism) as pool:
             tables = pool.map(inheritable_thread_target(df.sparkSession)(fitted), tasks, chunksize=1)
         shared = df.sparkSession.sparkContext.broadcast(
-            [tables[i * len(fits) : (i + 1) * len(fits)] for i in range(folds)]
+            [sum(tables[i * len(fits) : (i + 1) * len(fits)], []) for i in range(folds)]
         )
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +236,9 @@ def rf_cross_validate(
         if not measured:
             raise ValueError("No fold has rows of both classes")
         areas = [
-            measured[column[tuple((n, v[n]) for n in others), v.get("numTrees", sizes[-1])]]
+            measured[shapes.index((
+                {n: v[n] for n in others}, v.get("maxDepth", depths[-1]), v.get("numTrees", sizes[-1])
+            ))]
             for v in values
         ]
         means = [float(np.mean(a)) for a in areas]

@@ -214,6 +214,17 @@ def test_prefix_votes_are_those_of_the_forest(vectors):
     np.testing.assert_allclose(votes[:20, 1], np.mean(trees, axis=1), atol=1e-12)
 
 
+def test_a_cut_forest_is_a_shallower_one(vectors):
+    """The first tree of a seeded forest without drawn features grows alike to any depth."""
+    params = {"numTrees": 3, "featureSubsetStrategy": "all"}
+    deep = RF.node_table(RF.rf_fit(vectors, params | {"maxDepth": 6}))
+    x = np.random.default_rng(0).normal(size=(500, 3)) * 2
+    np.testing.assert_array_equal(deep.cut(6).votes(x, [3]), deep.votes(x, [3]))
+    for depth in (0, 1, 2, 4):
+        shallow = RF.node_table(RF.rf_fit(vectors, params | {"maxDepth": depth}))
+        np.testing.assert_allclose(deep.cut(depth).votes(x, [1, 3]), shallow.votes(x, [1, 3]), atol=1e-12)
+
+
 def test_areas_of_folds_are_exact(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({
