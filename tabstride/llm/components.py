@@ -42,14 +42,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = stored(
         links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a != b").distinct(), "links"
     )
-    before = None
-    while True:
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("h")).first()
-        if not seen["n"] or seen == before:
-            break
-        before = seen
+    size, before, last = now.count(), -1, None
+    # A round that leaves the number of links as it was may have changed them all the same.
+    while size and (size != before or not now.join(last, ["a", "b"], "left_anti").isEmpty()):
+        before, last = size, now
         large = _star(_both_ways(now), large=True)
         downward = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         now = stored(_star(downward, large=False), "links")
+        size = now.count()
     members = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return members.union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

@@ -1,10 +1,11 @@
 """Near-duplicate vectors: spherical k-means cells and blocked cosine products.
 
-Equal vectors of a label form one class.  A bounded sample gives the centroids.  A class owns
-the cell of its nearest centroid and visits each earlier cell that a vector linked with it
-could own.  A cell is compared in blocks of a bounded number of vectors, and a pair is
-compared only in the earlier of its two cells.  A block hands on, per class, how many vectors
-it is linked with and one link that holds its cluster together, never the pairs.
+Equal vectors of a label form one class.  A bounded sample gives the centroids, of which a label
+uses as many as its own size asks for.  A class owns the cell of its nearest centroid and visits
+each earlier cell that a vector linked with it could own, so a pair is compared only in the
+earlier of its two cells.  A cell's owners are compared in blocks with each other and with its
+visitors, visitors never with visitors.  A block hands on, per class, how many vectors it is
+linked with and one link that holds its cluster together, never the pairs.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from tabstride.session import broadcast_if_small
 
 @dataclass(frozen=True)
 class Cells:
-    """Least cosine; vectors per cell aimed at, cells and sample at most, rows of a block.
+    """Least cosine; owners per cell aimed at, cells and sample at most, owners of a block.
+
+    A block of visitors is ``visitor_blocks`` times as large.
 
     With ``slack`` 1 every link is found: two unit vectors with cosine c differ by at most
     ``r = sqrt(2 - 2c)`` and their scores against two centroids by at most r times the
@@ -34,11 +37,12 @@ class Cells:
     """
 
     cosine: float = 0.98
-    cell_vectors: int = 1000
-    most_cells: int = 512
+    cell_vectors: int = 512
+    most_cells: int = 2048
     most_sampled: int = 20_000
     rounds: int = 8
     block_rows: int = 1024
+    visitor_blocks: int = 4
     slack: float = 1.0
     seed: int = 42
 
@@ -85,6 +89,9 @@ def _cells(classes: DataFrame, centroids: np.ndarray, rules: Cells) -> DataFrame
             rows = np.flatnonzero(batch.column("dim").to_numpy() == dim)
             if len(rows):
                 scores = _matrix(lists.take(pa.array(rows))) @ centroids.T
+                # A label has the first so many cells.
+                used = batch.column("used").to_numpy()[rows]
+                scores[np.arange(len(centroids)) >= used[:, None]] = -np.inf
                 best = own[rows] = np.argmax(scores, axis=1)
                 # A margin over the rounding of scores and distances.
                 limit = scores[np.arange(len(rows)), best][:, None] - radius * apart[best] - 1e-7
@@ -107,11 +114,11 @@ def _compare(table: pa.Table, rules: Cells) -> pa.Table:
     table = table.combine_chunks()
     block = table["block"].to_numpy()
     unit = _matrix(table["v"].combine_chunks())
-    copies, owner = table["copies"].to_numpy(), table["owner"].to_numpy(zero_copy_only=False)
-    linked = unit @ unit.T >= rules.cosine
-    linked &= owner[:, None] | owner[None, :]
-    if (table["i"][0].as_py()) != (table["j"][0].as_py()):
-        linked &= block[:, None] != block[None, :]
+    copies = table["copies"].to_numpy()
+    first, second = (np.flatnonzero(block == table[c][0].as_py()) for c in ("i", "j"))
+    linked = np.zeros((len(unit), len(unit)), bool)
+    linked[np.ix_(first, second)] = unit[first] @ unit[second].T >= rules.cosine
+    linked |= linked.T
     np.fill_diagonal(linked, False)
     rows = np.flatnonzero(linked.any(axis=1))
     counts = linked[rows].astype(np.float64) @ copies
@@ -173,20 +180,33 @@ def near_vectors(
         .select("class", "v").orderBy("class").limit(2 * rules.most_sampled).toPandas()["v"]
     )
     sample = _matrix(pa.array(list(picked), pa.list_(pa.float64()))) if len(picked) else np.eye(1, dim)
-    k = max(1, min(rules.most_cells, math.ceil(total / rules.cell_vectors)))
+    labels = stored(classes.groupBy("label", "dim").agg(F.count("*").alias("used")), "labels")
+    k = max(1, min(rules.most_cells, math.ceil(labels.agg(F.max("used")).first()[0] / rules.cell_vectors)))
     centroids = spherical_kmeans(sample, k, rules.rounds, rules.seed)
-
-    placed = stored(_cells(classes.drop("least"), centroids, rules), "cells")
+    cells = F.ceil(F.col("used") / rules.cell_vectors).cast("int")
+    counted = classes.drop("least").join(
+        broadcast_if_small(labels.withColumn("used", F.least(cells, F.lit(k)))), ["label", "dim"]
+    )
+    placed = stored(_cells(counted, centroids, rules), "cells")
     groups = ["label", "dim", "cell"]
+    owners = F.ceil(F.count_if("owner") / rules.block_rows).cast("int")
+    visitors = F.ceil(F.count_if(~F.col("owner")) / (rules.block_rows * rules.visitor_blocks)).cast("int")
     sizes = stored(
-        placed.groupBy(*groups).agg(F.ceil(F.count("*") / rules.block_rows).cast("int").alias("blocks")),
+        placed.groupBy(*groups).agg(owners.alias("owners"), visitors.alias("visitors"))
+        .filter("owners > 0"),
         "cell_sizes",
     )
+    # Blocks of owners come first; owners meet every block, visitors those of owners.
+    hashed = F.xxhash64("class")
+    block = F.when(F.col("owner"), F.pmod(hashed, F.col("owners"))).otherwise(
+        F.col("owners") + F.pmod(hashed, F.greatest("visitors", F.lit(1)))
+    )
+    met = F.col("owners") + F.when(F.col("owner"), F.col("visitors")).otherwise(0)
     dealt = (
         placed.join(broadcast_if_small(sizes), groups)
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*groups, "class", "v", "copies", "owner", "block",
+        .withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), met - 1)))
+        .select(*groups, "class", "v", "copies", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
     found = stored(

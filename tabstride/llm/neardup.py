@@ -15,6 +15,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +29,41 @@ from tabstride.session import broadcast_if_small
 
 @dataclass(frozen=True)
 class NearDup:
-    """Words per shingle, similarity in percent, retained values, and sizes of a block."""
+    """Words per shingle, similarity in percent, retained values, and sizes of a block.
+
+    ``miss`` bounds the chance that a pair at the threshold meets in no list, and the chance
+    that the estimate drops it.
+    """
 
     shingle: int = 5
     percent: int = 80
     retained: int = 64
     block_rows: int = 512
     block_values: int = 1 << 20
+    miss: float = 1e-12
 
     @property
     def shared(self) -> int:
-        """Retained values that two similar large sets share, but for a chance below 1e-8."""
-        t = self.percent / 100
-        spread = 6 * math.sqrt(self.retained * t * (1 - t))
-        return max(1, math.floor(self.retained * t - spread))
+        """Retained values that two similar large sets share, but for ``miss``."""
+        return max(1, int(_least_shared(self)[self.retained]))
+
+
+@lru_cache
+def _least_shared(rules: NearDup) -> np.ndarray:
+    """By number of values: how many of them a pair at the threshold shares at least.
+
+    The exact binomial tail below it is under ``miss``.
+    """
+    t, out = rules.percent / 100, []
+    for n in range(2 * rules.retained + 1):
+        below, k = 0.0, 0
+        while k <= n:
+            below += math.comb(n, k) * t**k * (1 - t) ** (n - k)
+            if below >= rules.miss:
+                break
+            k += 1
+        out.append(k)
+    return np.array(out, np.float64)
 
 
 def shingle_sets(
@@ -159,9 +181,10 @@ def compare_block(
     estimate, union = _estimates(sets, rules)
     t = rules.percent / 100
     whole = sizes <= rules.retained
-    unsure = 5 * np.sqrt(t * (1 - t) / np.maximum(union, 1)) + 1e-6
-    unsure[np.ix_(whole, whole)] = 1e-6
-    likely = estimate >= t - unsure
+    # The estimate rests on ``union`` values, each shared with the chance of the similarity.
+    least = _least_shared(rules)[np.minimum(union, 2 * rules.retained).astype(np.int64)]
+    least[np.ix_(whole, whole)] = (t * union - 1e-3)[np.ix_(whole, whole)]
+    likely = estimate * union >= least - 0.5e-3
     np.fill_diagonal(likely, False)
     rows = np.flatnonzero(likely.any(axis=1))
     if not len(rows):

@@ -57,14 +57,14 @@ class SpanRules:
     words: int = 12
     long_words: int = 12
     cut_every: int = 8
-    both_ways: bool = False
-    window: int = 0
-    wrapped: bool = False
-    characters: bool = False
+    both_ways: bool = True
+    window: int = 8
+    wrapped: bool = True
+    characters: bool = True
 
 
-# Rules that miss no run; those of the queries.
-WHOLE = SpanRules(both_ways=True, window=8, wrapped=True, characters=True)
+# Rules that miss no run: the default, and those of the queries.
+WHOLE = SpanRules()
 
 
 @dataclass

@@ -211,6 +211,10 @@ def _plain_dedup(documents, rules):
     return out
 
 
+# Runs in one direction, cuts at multiples of a hash, every line break an end: plain to state.
+ONE_WAY = spans.SpanRules(both_ways=False, window=0, wrapped=False, characters=False)
+
+
 def test_substring_dedup_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     words = [f"w{i}" for i in range(300)]
@@ -228,10 +232,10 @@ def test_substring_dedup_equals_brute_force(spark):
         documents[i] = " ".join(parts)
     rows = [(i, t, "x", "key", i) for i, t in documents.items()]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_removed string, _key string, _runs long")
-    found = spans.drop_repeats(df.repartition(4)).collect()
+    found = spans.drop_repeats(df.repartition(4), rules=ONE_WAY).collect()
     assert all(r["_key"] == "key" and r["_runs"] == r.doc_id for r in found)
     got = {r.doc_id: (r.text, r.n_removed) for r in found}
-    expected = _plain_dedup(documents, spans.SpanRules())
+    expected = _plain_dedup(documents, ONE_WAY)
     assert got == expected and sum(n for _, n in got.values()) > 50
 
 
@@ -252,6 +256,45 @@ def _plain_all_runs(documents, rules, sentences=_plain_sentences):
     return {key: [t[0] for j, t in enumerate(tokens) if j not in covered[key]] for key, (tokens, _) in parsed.items()}
 
 
+def _plain_whole(documents):
+    """Texts without what any run of up to 14 sentences repeats, by the sentences of ``WHOLE``.
+
+    A longer run covers nothing that such runs do not: each of its sentences lies in one that
+    is short of 12 words without its first or its last sentence.
+    """
+    found, parsed = defaultdict(list), {}
+    for key, text in documents.items():
+        data = np.frombuffer(text.encode(), np.uint8)
+        s = parsed[key] = data, spans.cut_sentences(data, np.array([0, len(data)]), spans.WHOLE)
+        s = s[1]
+        edges = np.append(s.first_words, s.n_words)
+        for starts in (s.by_line, s.joined) if len(s.texts) else ():
+            own = [*np.flatnonzero(starts).tolist(), len(s.texts)]
+            for i, a in enumerate(own):
+                for b in own[i + 2 : i + 15]:
+                    run = s.hashes[edges[a] : edges[b]]
+                    if len(run) >= spans.WHOLE.words:
+                        found[run.tobytes()].append((key, a, b))
+    covered = defaultdict(set)
+    for places in found.values():
+        for key, a, b in sorted(set(places))[1:]:
+            covered[key] |= set(range(a, b))
+    out = {}
+    for key, (data, s) in parsed.items():
+        edges = [*s.starts.tolist(), len(data)]
+        kept = [data[edges[i] : edges[i + 1]].tobytes() for i in range(len(s.texts)) if i not in covered[key]]
+        head = data[: edges[0]].tobytes()
+        out[key] = (head + b"".join(kept)).decode().rstrip(" \t\n\x0b\x0c\r") if covered[key] else documents[key]
+    return out
+
+
+def test_default_rules_equal_brute_force_on_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    documents = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.doc_id: r.text for r in spans.drop_repeats(docs).collect()}
+    assert got == _plain_whole(documents)
+
+
 def test_substring_dedup_equals_brute_force_over_all_runs(spark):
     draw = np.random.default_rng(8)
     names = iter(f"w{i}" for i in range(100_000))
