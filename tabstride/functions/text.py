@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DIGITS, _UPPER, _PUNCTUATION = string.digits, string.ascii_uppercase, string.punctuation
-
 TEXT_DESCRIPTORS = [
     "n_chars",
     "n_words",
@@ -27,21 +23,20 @@ def text_descriptors(c: Column | str) -> Column:
     punctuation is any printable ASCII character that is not a letter, digit or space.
     """
     text = F.col(c) if isinstance(c, str) else c
-    n_chars = F.length(text)
-    # A word begins where a letter follows a blank; one-letter classes are counted by length.
-    solid = F.length(F.regexp_replace(text, r"[^ \t\r\n]+", "x"))
-    n_blank = n_chars - F.length(F.translate(text, " \t\r\n", ""))
-    n_words = solid - n_blank
-    n_lines = n_chars - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    numbers = F.struct(
-        n_chars.alias("n_chars"),
-        n_words.alias("n_words"),
-        n_lines.alias("n_lines"),
-        (n_chars - F.length(F.translate(text, _DIGITS, ""))).alias("n_digits"),
-        (n_chars - F.length(F.translate(text, _UPPER, ""))).alias("n_upper"),
-        (n_chars - F.length(F.translate(text, _PUNCTUATION, ""))).alias("n_punct"),
-        F.coalesce(
-            F.try_divide((n_chars - n_blank).cast("double"), n_words), F.lit(0.0)
-        ).alias("mean_word_len"),
+    counts = F.struct(
+        F.length(text).alias("n_chars"),
+        F.regexp_count(text, F.lit(r"[^ \t\r\n]+")).alias("n_words"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n_lines"),
+        F.regexp_count(text, F.lit("[0-9]")).alias("n_digits"),
+        F.regexp_count(text, F.lit("[A-Z]")).alias("n_upper"),
+        F.regexp_count(text, F.lit(r"[!-/:-@\[-`{-~]")).alias("n_punct"),
+        F.regexp_count(text, F.lit(r"[ \t\r\n]")).alias("n_blank"),
     )
-    return F.when(text.isNotNull(), numbers)
+
+    def described(n: Column) -> Column:
+        solid = (n["n_chars"] - n["n_blank"]).cast("double")
+        mean = F.coalesce(F.try_divide(solid, n["n_words"]), F.lit(0.0))
+        return F.struct(*[n[name] for name in TEXT_DESCRIPTORS[:-1]], mean.alias("mean_word_len"))
+
+    # The lambda binds the counts, so each is made once.
+    return F.when(text.isNotNull(), F.transform(F.array(counts), described)[0])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from math import ceil, log2
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabstride.functions import column_value
 from tabstride.operators.columns import literal_table, missing
-from tabstride.operators.quantiles import beside, column_stats, stack_columns
+from tabstride.operators.quantiles import beside, column_stats, ranked_stats, stack_columns
 from tabstride.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -227,6 +227,38 @@ def histogram(
     )
 
 
+def histograms(df: DataFrame, bins: Mapping[str, tuple[int, float, float]]) -> DataFrame:
+    """``column, bin, bin_start, bin_end, n`` of many columns in one read.
+
+    ``bins`` gives number, least and greatest value of each column; only bins that hold values
+    are returned.  Otherwise as :func:`histogram`.
+    """
+    known = {c: b for c, b in bins.items() if b[1] is not None}
+    if not known:
+        return df.sparkSession.createDataFrame(
+            [], "column string, bin bigint, bin_start double, bin_end double, n bigint"
+        )
+    edges = [
+        (n, lo - 0.5, hi + 0.5) if lo == hi else (n, float(lo), float(hi)) for n, lo, hi in known.values()
+    ]
+    number, low, high = (F.array(*[F.lit(e[k]) for e in edges]) for k in range(3))
+    slot = F.col("slot")
+    width = (high[slot] - low[slot]) / number[slot]
+    values = stack_columns(
+        df.select(*[column_value(c).alias(f"v{i}") for i, c in enumerate(known)]), [], ["slot", "x"],
+        *[(F.lit(i), F.col(f"v{i}")) for i in range(len(known))],
+    ).filter("x IS NOT NULL")
+    place = F.least(F.floor((F.col("x") - low[slot]) / width), (number[slot] - 1).cast("bigint"))
+    placed = values.groupBy("slot", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return placed.select(
+        F.array(*[F.lit(c) for c in known])[slot].alias("column"),
+        "bin",
+        (low[slot] + F.col("bin") * width).alias("bin_start"),
+        (low[slot] + (F.col("bin") + 1) * width).alias("bin_end"),
+        "n",
+    )
+
+
 def auto_bins(df: DataFrame, c: str) -> int:
     """Bin count from the narrower of the Sturges and Freedman-Diaconis widths."""
     return auto_bins_from(describe_numeric(df, [c]).first())
@@ -249,36 +281,21 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str, **options) -> DataFra
 
     A whisker ends at the last datum within 1.5 interquartile ranges of the box.
     """
+    boxes, points = ranked_stats(df, cols, QUARTILES, by=[by], fence=WHISKER, **options)
     q = F.col("quantiles")
-    boxes = materialize(column_stats(df, cols, QUARTILES, by=[by], **options))
-    per_group = materialize(
-        boxes.groupBy(by).agg(
-            F.array(*[F.max(F.when(F.col("column") == c, q)) for c in cols]).alias("boxes")
-        )
-    )
-    wide = df.select(by, *[column_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    values = stack_columns(
-        beside(wide, per_group, [by]),
-        [by, "boxes"],
-        ["slot", "value"],
-        *[(F.lit(i), F.col(f"v{i}")) for i in range(len(cols))],
-    ).filter("value IS NOT NULL")
-    box = F.col("boxes")[F.col("slot")]
-    placed = values.select(
-        by,
-        F.array(*[F.lit(c) for c in cols])[F.col("slot")].alias("column"),
-        "value",
-        *[box[k].alias(name) for k, name in enumerate(["q1", "median", "q3"])],
+    boxes = materialize(
+        boxes.select(by, "column", "n", *[q[k].alias(c) for k, c in enumerate(["q1", "median", "q3"])])
     )
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
+    # A point is a value or a run of values that lies on one side of each fence.
+    inside = F.col("min").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        placed.groupBy(by, "column", "q1", "median", "q3")
+        beside(points, boxes, [by, "column"])
+        .groupBy(by, "column", "n", "q1", "median", "q3")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.when(inside, F.col("value"))).alias("in_lo"),
-            F.max(F.when(inside, F.col("value"))).alias("in_hi"),
-            F.count_if(~inside).alias("n_outliers"),
+            F.min(F.when(inside, F.col("min"))).alias("in_lo"),
+            F.max(F.when(inside, F.col("max"))).alias("in_hi"),
+            F.coalesce(F.sum(F.when(~inside, F.col("copies"))), F.lit(0)).alias("n_outliers"),
         )
         .select(
             by,

@@ -63,14 +63,33 @@ def column_stats(
     ``quantiles`` is an array in the order of ``probs`` (which must ascend); between two
     data points the quantile is linear.  Null and NaN are left out.
     """
+    return ranked_stats(df, cols, probs, by, sketch_size, single_task_rows)[0]
+
+
+def ranked_stats(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    sketch_size: int = SKETCH_SIZE,
+    single_task_rows: int = SINGLE_TASK_ROWS,
+    fence: float | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The statistics of ``column_stats``, and the grouped points that they were read from.
+
+    Points are rows ``(by..., column, min, max, copies)``, each a value or a run of values
+    between brackets.  With ``fence`` no run reaches across a fence, ``fence`` times the distance
+    of the first from the last of ``probs`` outside of them, so that what lies within the
+    fences is known from the points.  Two reads of ``df``.
+    """
     wide = df.select(*by, *[column_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    sketch = materialize(_brackets(wide, len(cols), probs, by, sketch_size))
-    ranked = _rank_rows(wide, len(cols), sketch, probs, by, True, single_task_rows)
+    sketch = materialize(_brackets(wide, len(cols), probs, by, sketch_size, fence))
+    ranked = _rank_rows(wide, len(cols), sketch, probs, by, True, single_task_rows, fence)
     stats = _read_ranks(ranked, sketch, probs, by)
     missed = F.exists("low", lambda v: v.isNull()) | F.exists("high", lambda v: v.isNull())
     if not stats.filter(missed).isEmpty():
         # A bracket missed its rank: keep every distinct value instead.
-        ranked = _rank_rows(wide, len(cols), sketch, probs, by, False, single_task_rows)
+        ranked = _rank_rows(wide, len(cols), sketch, probs, by, False, single_task_rows, fence)
         stats = _read_ranks(ranked, sketch, probs, by)
 
     quantiles = []
@@ -83,7 +102,8 @@ def column_stats(
         n > 1, F.greatest(F.col("dev2") - F.col("dev") ** 2 / n, F.lit(0.0)) / (n - 1)
     )
     names = F.array(*[F.lit(c) for c in cols])
-    return stats.select(
+    points = ranked.select(*by, names[F.col("slot")].alias("column"), "min", "max", "copies")
+    summary = stats.select(
         *by,
         names[F.col("slot")].alias("column"),
         "n",
@@ -93,6 +113,7 @@ def column_stats(
         "max",
         F.array(*quantiles).alias("quantiles"),
     )
+    return summary, points
 
 
 def _position(p: float) -> Column:
@@ -100,9 +121,11 @@ def _position(p: float) -> Column:
     return F.lit(float(p)) * (F.col("n") - 1)
 
 
-def _brackets(wide, size: int, probs, by, sketch_size: int) -> DataFrame:
+def _brackets(wide, size: int, probs, by, sketch_size: int, fence: float | None) -> DataFrame:
     """``(by..., slot, n, edges, centre)``: two sketch quantiles around each probability.
 
+    With ``fence`` two more brackets follow, of all places where a fence can lie.
+
     Sketches are merged in two rounds, so no task takes in those of all tasks.
     """
     slack = 4.0 * 2.446 / sketch_size**0.9433
@@ -127,11 +150,18 @@ def _brackets(wide, size: int, probs, by, sketch_size: int) -> DataFrame:
     middle = F.col("levels")[len(wanted)]
     # A few rows are ranked whole; the sketch says nothing about neighbours then.
     narrow = F.col("n") > sketch_size
+    ends = [F.col("levels")[i] for i in range(len(wanted))]
+    if fence is not None:
+        first, last = ends[:2], ends[-2:]
+        spread = [last[0] - first[1], last[1] - first[0]]
+        ends = [
+            *ends,
+            first[0] - fence * spread[1], first[1] - fence * F.greatest(spread[0], F.lit(0.0)),
+            last[0] + fence * F.greatest(spread[0], F.lit(0.0)), last[1] + fence * spread[1],
+        ]
     edges = [
-        F.when(narrow, F.col("levels")[i]).otherwise(
-            F.lit(float("inf") if i % 2 else float("-inf"))
-        )
-        for i in range(len(wanted))
+        F.when(narrow, end).otherwise(F.lit(float("inf") if i % 2 else float("-inf")))
+        for i, end in enumerate(ends)
     ]
     return read.select(
         *by,
@@ -142,7 +172,7 @@ def _brackets(wide, size: int, probs, by, sketch_size: int) -> DataFrame:
     )
 
 
-def _rank_rows(wide, size, sketch, probs, by, narrow: bool, single_task_rows) -> DataFrame:
+def _rank_rows(wide, size, sketch, probs, by, narrow: bool, single_task_rows, fence) -> DataFrame:
     """Distinct points with their number of copies and the running total of copies.
 
     A value outside all brackets is folded into the gap after the bracket below it.
@@ -165,7 +195,8 @@ def _rank_rows(wide, size, sketch, probs, by, narrow: bool, single_task_rows) ->
     inside, passed = F.lit(not narrow), start
     if narrow:
         edges = F.col("all_edges")[F.col("slot")]
-        pairs = [(edges[2 * p], edges[2 * p + 1]) for p in range(len(probs))]
+        brackets = len(probs) + (0 if fence is None else 2)
+        pairs = [(edges[2 * p], edges[2 * p + 1]) for p in range(brackets)]
         for low, high in pairs:
             inside = inside | v.between(low, high)
         passed = F.greatest(start, *[F.when(high < v, high) for _, high in pairs])

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import cache, partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabstride.operators.profile import (
     auto_bins_from,
@@ -14,7 +15,7 @@ from tabstride.operators.profile import (
     count_distinct,
     describe_numeric,
     describe_string,
-    histogram,
+    histograms,
     null_counts,
     row_count,
     schema_profile,
@@ -34,17 +35,22 @@ def profile_report(
     """The tables of a profile by name; call one to compute it.
 
     The numeric summary covers all columns at once and also sets the histograms' bins, so
-    it is computed only once.  Store ``df`` first if it is costly.
+    it is computed only once; one more read then counts the bins of all histograms.  Store
+    ``df`` first if it is costly.
     """
 
     @cache
     def summary() -> DataFrame:
         return materialize(describe_numeric(df, numeric))
 
+    @cache
+    def all_bins() -> DataFrame:
+        stats = {r["column"]: r for r in summary().collect()}  # one row per column
+        bins = {c: (auto_bins_from(s), s["min"], s["max"]) for c, s in stats.items()}
+        return materialize(histograms(df, bins))
+
     def auto_histogram(c: str) -> DataFrame:
-        stats = summary().filter(summary()["column"] == c).first()
-        extent = (stats["min"], stats["max"])
-        return histogram(df, c, auto_bins_from(stats), extent, keep_empty=False)
+        return all_bins().filter(F.col("column") == c).drop("column")
 
     report = {
         "row_count": partial(row_count, df),

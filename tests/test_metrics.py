@@ -324,3 +324,50 @@ def test_profile_report_agrees_with_its_parts(spark):
 def test_positive_probability(spark):
     df = spark.createDataFrame([(Vectors.dense([0.3, 0.7]),)], ["probability"])
     assert df.select(vector_to_array("probability")[1]).first()[0] == 0.7
+
+
+def test_box_stats_read_the_table_twice(spark):
+    """A counting pass-through; brackets are narrow, so fences are found between runs of values."""
+    draw = np.random.default_rng(5)
+    pdf = pd.DataFrame({
+        "x": np.round(draw.standard_t(2, 30_000), 3), "y": draw.exponential(3, 30_000), "g": draw.integers(0, 3, 30_000)})
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = spark.createDataFrame(pdf).repartition(4)
+    df = source.mapInPandas(count, source.schema)
+    boxes = P.box_stats(df, ["x", "y"], "g", sketch_size=1024).collect()
+    assert reads.value == 2 * len(pdf)
+    for r in boxes:
+        v = pdf.loc[pdf["g"] == r["g"], r["column"]].to_numpy()
+        q1, mid, q3 = np.quantile(v, [0.25, 0.5, 0.75])
+        inside = v[(v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))]
+        assert (r["q1"], r["median"], r["q3"]) == pytest.approx((q1, mid, q3))
+        assert (r["n"], r["n_outliers"]) == (len(v), len(v) - len(inside))
+        assert (r["whisker_lo"], r["whisker_hi"]) == (min(inside.min(), q1), max(inside.max(), q3))
+
+
+def test_all_histograms_in_one_read(spark):
+    draw = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": draw.normal(size=500), "b": 3.0, "c": draw.integers(0, 9, 500).astype(float)})
+    pdf.loc[:20, "a"] = np.nan
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = spark.createDataFrame(pdf)
+    df = source.mapInPandas(count, source.schema)
+    bins = {c: (7, *source.agg(*[f(F.nanvl(c, F.lit(None))) for f in (F.min, F.max)]).first()) for c in "abc"}
+    rows = P.histograms(df, bins | {"void": (1, None, None)}).collect()
+    assert reads.value == len(pdf)
+    for c in "abc":
+        one = P.histogram(source, c, *[bins[c][0]], extent=bins[c][1:], keep_empty=False).collect()
+        got = {(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in rows if r["column"] == c}
+        assert got == {(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in one}
