@@ -11,7 +11,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from test_text_operators import PATH, _plain_quality, _plain_whole
+from test_text_operators import PATH, _plain_quality, check_whole
 from tabstride.llm import embeddings, html, licenses, neardup, quotes, urls
 from tabstride.llm.components import connected_components
 
@@ -402,7 +402,7 @@ def test_pipeline_stages(spark, tmp_path):
                         known.join(i, j)
             assert ids == {i for i in sets if known.find(i) == i}
         else:
-            assert {r.doc_id: r.text for r in kept.collect()} == _plain_whole(texts)
+            check_whole(texts, {r.doc_id: r.text for r in kept.collect()})
     assert kept.filter("n_chars <> length(text)").count() == 0
     # Packing against the library: every id of every kept document in exactly one place.
     library = tokenizers.Tokenizer.from_file(PATH)
