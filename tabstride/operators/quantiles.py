@@ -126,27 +126,31 @@ def _brackets(wide, size: int, probs, by, sketch_size: int, fence: float | None)
 
     With ``fence`` two more brackets follow, of all places where a fence can lie.
 
+    One wide aggregate holds a sketch per column, so no row is multiplied by the columns.
     Sketches are merged in two rounds, so no task takes in those of all tasks.
     """
     slack = 4.0 * 2.446 / sketch_size**0.9433
     wanted = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
-    values = stack_columns(
-        wide, by, ["slot", "value"], *[(F.lit(i), F.col(f"v{i}")) for i in range(size)]
-    ).filter("value IS NOT NULL")
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
+    slots = range(size)
     sketches = (
-        values.groupBy(*by, "slot", group)
-        .agg(F.kll_sketch_agg_double("value", sketch_size).alias("part"))
-        .groupBy(*by, "slot")
-        .agg(F.kll_merge_agg_double("part", sketch_size).alias("whole"))
+        wide.groupBy(*by, group)
+        .agg(*[F.kll_sketch_agg_double(f"v{i}", sketch_size).alias(f"part{i}") for i in slots])
+        .groupBy(*by)
+        .agg(*[F.kll_merge_agg_double(f"part{i}", sketch_size).alias(f"whole{i}") for i in slots])
     )
+    rows = [
+        F.struct(F.lit(i).alias("slot"), F.col(f"whole{i}").alias("whole")) for i in slots
+    ]
     levels = F.array(*[F.lit(float(q)) for q in [*wanted, 0.5]])
-    read = sketches.select(
+    # A column without a value has an empty sketch, which has no quantiles.
+    n = F.kll_sketch_get_n_double("whole")
+    read = sketches.select(*by, F.inline(F.array(*rows))).select(
         *by,
         "slot",
-        F.kll_sketch_get_n_double("whole").alias("n"),
-        F.kll_sketch_get_quantile_double("whole", levels).alias("levels"),
-    )
+        n.alias("n"),
+        F.when(n > 0, F.kll_sketch_get_quantile_double("whole", levels)).alias("levels"),
+    ).filter("n > 0")
     middle = F.col("levels")[len(wanted)]
     # A few rows are ranked whole; the sketch says nothing about neighbours then.
     narrow = F.col("n") > sketch_size

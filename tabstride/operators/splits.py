@@ -20,6 +20,8 @@ from tabstride.session import broadcast_if_small, materialize
 # Hex digits of the hash used for bracketing: 52 bits, exact in a double.
 _HEAD_DIGITS = 13
 _HEAD_RANGE = float(16**_HEAD_DIGITS)
+# Share of all hashes, on either side of a cut's expected place, that is kept in the first read.
+NEAR = Fraction(1, 64)
 
 
 def is_test(key: Column | str, test_ratio: float = TEST_RATIO, seed: int = SEED) -> Column:
@@ -54,22 +56,31 @@ def stratified_split(
 ) -> DataFrame:
     """Add a flag that marks exactly ``floor(n * test_ratio)`` rows of each label.
 
-    Within a label the rows with the smallest hashes form the test part.  The hash at the
-    cut is found by counting: hashes are uniform, so the cut lies within a few multiples of
-    ``sqrt(n)`` ranks of its expected place and only those rows are ordered.  The rows
-    themselves are neither sorted nor shuffled.  ``key`` must be unique; equal keys always
-    land on the same side.
+    Within a label the rows with the smallest hashes form the test part.  Hashes are uniform,
+    so the cut lies near ``test_ratio`` of their range: one read of label and key counts the rows
+    below and above and keeps the few hashes near it, from which sizes and cuts follow; the
+    flag is set in the read of the result.  Only labels whose cut lies farther off, as it can
+    with less than about 65,000 rows, are read once more.  The rows themselves are neither sorted
+    nor shuffled.  ``key`` must be unique; equal keys always land on the same side.
     """
-    rows = df.select(F.col(label).alias("stratum"), hash_order(key, seed).alias("hash"))
+    rows = df.select(F.col(label).alias("stratum"), hash_order(key, seed).alias("point"))
     ratio = Fraction(str(test_ratio)).limit_denominator(10**6)
-    sizes = materialize(
-        rows.groupBy("stratum")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("take", F.expr(f"n * {ratio.numerator} div {ratio.denominator}"))
+    point = F.col("point")
+    below, above = point < _hash_at(ratio - NEAR), point > _hash_at(ratio + NEAR)
+    counts = materialize(
+        rows.withColumn("point", F.when(below, "").when(above, "g").otherwise(point))
+        .groupBy("stratum", "point")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    cuts = materialize(_cuts(rows, sizes, bracket=True, single_task_rows=single_task_rows))
-    if not cuts.filter("cut IS NULL").isEmpty():
-        cuts = materialize(_cuts(rows, sizes, bracket=False, single_task_rows=single_task_rows))
+    cuts = materialize(_cuts(counts, ratio, single_task_rows))
+    lost = cuts.filter("cut IS NULL").select(F.col("stratum").alias("_stratum"))
+    if not lost.isEmpty():
+        few = rows.join(
+            broadcast_if_small(lost), F.col("stratum").eqNullSafe(F.col("_stratum")), "left_semi"
+        )
+        whole = few.groupBy("stratum", "point").agg(F.count(F.lit(1)).alias("copies"))
+        found = _cuts(materialize(whole), ratio, single_task_rows, narrow=False)
+        cuts = materialize(cuts.filter("cut IS NOT NULL").unionByName(found))
     placed = df.join(
         broadcast_if_small(cuts.select(F.col("stratum").alias("_stratum"), "cut")),
         F.col(label).eqNullSafe(F.col("_stratum")),
@@ -77,27 +88,37 @@ def stratified_split(
     return placed.select(*df.columns, (hash_order(key, seed) <= F.col("cut")).alias(out))
 
 
-def _cuts(rows: DataFrame, sizes: DataFrame, bracket: bool, single_task_rows: int) -> DataFrame:
-    """Per stratum the hash of the last test row, '' for no test row, null if the bracket missed it."""
-    head = F.conv(F.substring("hash", 1, _HEAD_DIGITS), 16, 10).cast("double")
-    expected = F.col("take") / F.col("n") * _HEAD_RANGE
-    reach = F.lit(4.0) / F.sqrt(F.col("n")) * _HEAD_RANGE
-    if bracket:
-        low, high = head < expected - reach, head > expected + reach
-    else:
-        low, high = F.lit(False), F.lit(False)
-    placed = rows.join(
-        broadcast_if_small(sizes.withColumnRenamed("stratum", "s_stratum")),
-        F.col("stratum").eqNullSafe(F.col("s_stratum")),
+def _hash_at(share: Fraction) -> Column:
+    """The hash below which about ``share`` of all hashes lie; '' and 'g' lie outside of all."""
+    if 0 < share < 1:
+        return F.lit(f"{int(share * 16**_HEAD_DIGITS):0{_HEAD_DIGITS}x}")
+    return F.lit("" if share <= 0 else "g")
+
+
+def _cuts(
+    counts: DataFrame, ratio: Fraction, single_task_rows: int, narrow: bool = True
+) -> DataFrame:
+    """Per stratum the hash of the last test row, '' for no test row, null if it is not among the points.
+
+    '' and 'g' among the points stand for the rows below and above the others.  The cut lies
+    within ``4 / sqrt(n)`` of its expected place, eight deviations, so with ``narrow`` only the
+    points there are ordered.
+    """
+    sizes = counts.groupBy("stratum").agg(F.sum("copies").alias("n")).select(
+        F.col("stratum").alias("s_stratum"), "n",
+        F.expr(f"n * {ratio.numerator} div {ratio.denominator}").alias("take"),
     )
-    # '' sorts before and 'g' after every hexadecimal hash.
-    point = F.when(low, "").when(high, "g").otherwise(F.col("hash"))
-    counts = (
-        placed.select("stratum", "take", point.alias("point"))
-        .groupBy("stratum", "take", "point")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    placed = counts.join(
+        broadcast_if_small(materialize(sizes)), F.col("stratum").eqNullSafe(F.col("s_stratum"))
     )
-    ranked = running_totals(counts, [F.col("point")], ["copies"], ["stratum"], single_task_rows)
+    if narrow:
+        head = F.conv(F.substring("point", 1, _HEAD_DIGITS), 16, 10).cast("double") / _HEAD_RANGE
+        off, reach = head - F.lit(float(ratio)), F.lit(4.0) / F.sqrt("n")
+        point = F.col("point")
+        kept = F.when(point.isin("", "g"), point).when(off < -reach, "").when(off > reach, "g")
+        placed = placed.withColumn("point", F.coalesce(kept, point))
+    points = placed.groupBy("stratum", "take", "point").agg(F.sum("copies").alias("copies"))
+    ranked = running_totals(points, [F.col("point")], ["copies"], ["stratum"], single_task_rows)
     last_in = F.max(F.when(F.col("cum_copies") <= F.col("take"), F.col("point")))
     first_out = F.min(F.when(F.col("cum_copies") > F.col("take"), F.col("point")))
     edge = ranked.groupBy("stratum", "take").agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -67,6 +69,22 @@ def load_forest(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
 
 
+_RUN_COLUMNS = "run_id string, kind string, key string, value string"
+
+
+def _commit(rows: DataFrame, path: str, part: str, size: int) -> None:
+    """Write the ``size`` rows of one call, each with the call's id, time and size.
+
+    Each call has its own folder, as writers to one folder share their temporary files.
+    """
+    call = uuid.uuid4().hex
+    rows.select(
+        "run_id", "kind", "key", "value",
+        F.lit(part).alias("part"), F.lit(call).alias("call"),
+        F.lit(time.time_ns()).alias("called_at"), F.lit(size).cast("bigint").alias("call_rows"),
+    ).coalesce(1).write.parquet(f"{path}/{call}")
+
+
 def log_run(
     spark: SparkSession,
     path: str,
@@ -74,22 +92,42 @@ def log_run(
     params: Mapping[str, object] | None = None,
     metrics: Mapping[str, float] | None = None,
 ) -> None:
-    """Append the params and metrics of a run to the table ``run_id, kind, key, value``."""
+    """Log the params and metrics of a run as rows ``run_id, kind, key, value``.
+
+    Calls only add, so runs can log side by side.  A second call for the same run, as by a
+    retried job, stands in place of the first; a call that broke off counts for nothing.  A call
+    without params and metrics logs nothing.
+    """
     rows = [(run_id, "param", k, str(v)) for k, v in (params or {}).items()]
     rows += [(run_id, "metric", k, repr(float(v))) for k, v in (metrics or {}).items()]
-    table = spark.createDataFrame(rows, "run_id string, kind string, key string, value string")
-    table.coalesce(1).write.mode("append").parquet(path)
+    if rows:
+        _commit(spark.createDataFrame(rows, _RUN_COLUMNS), path, "run", len(rows))
 
 
 def log_metrics_table(df: DataFrame, path: str, run_id: str, digits: int | None = None) -> None:
-    """Append a one-row metrics table to the run table without bringing it to the driver."""
+    """Log a one-row metrics table of a run without bringing it to the driver.
+
+    The table is committed as a whole, apart from what ``log_run`` logs for the run, and by the
+    same rules.
+    """
     value = lambda c: F.col(c) if digits is None else F.round(c, digits)
     cells = F.array(*[F.struct(F.lit(c).alias("key"), value(c).cast("string").alias("value"))
                       for c in df.columns])
-    df.select(
+    rows = df.select(
         F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), F.inline(cells)
-    ).write.mode("append").parquet(path)
+    )
+    _commit(rows, path, "table", len(df.columns))
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """``run_id, kind, key, value`` of the last whole call per run and part."""
+    calls = spark.read.option("recursiveFileLookup", True).parquet(path)
+    whole = (
+        calls.groupBy("run_id", "part", "call", "called_at", "call_rows")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n = call_rows")
+        .groupBy("run_id", "part")
+        .agg(F.max(F.struct("called_at", "call")).alias("last"))
+    )
+    chosen = whole.select(F.col("last.call").alias("call"))
+    return calls.join(chosen, "call", "left_semi").select("run_id", "kind", "key", "value")

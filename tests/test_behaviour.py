@@ -2,9 +2,11 @@
 
 import math
 import sys
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
@@ -21,13 +23,14 @@ from tabstride.operators.columns import (
     label_threshold,
     select_features,
 )
-from tabstride.operators.featurize import featurize, python_kernel
+from tabstride.operators.featurize import featurize, featurize_batches, python_kernel
 from tabstride.operators.net import NetWeights, mlp_score
 from tabstride.operators.scaling import FittedScaler, apply_fitted, assemble, fit_scaler, impute
 from tabstride.plans import prepare, score_batch
 from tabstride.sources.artefacts import (
     load_net,
     load_scaler,
+    log_metrics_table,
     log_run,
     read_runs,
     resolve_features,
@@ -71,6 +74,33 @@ def test_kernel_on_valid_invalid_and_null(spark):
     assert all(isinstance(v, float) for v in got[1])
 
 
+def test_batch_kernel_is_called_once_per_batch(spark):
+    rows = spark.createDataFrame(
+        [(i, None if i % 7 == 0 else "a" * (i % 5)) for i in range(1000)], "id int, text string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def lengths(texts):
+        calls.add(1)
+        size = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        return {"twice": 2 * size, "size": size}, size > 0
+
+    got = featurize_batches(rows.repartition(3), "text", lengths, ["size", "twice"])
+    assert got.dtypes == [*rows.dtypes, ("size", "double"), ("twice", "double")]
+    expected = {(i, "a" * (i % 5), float(i % 5), 2.0 * (i % 5))
+                for i in range(1000) if i % 7 and i % 5}
+    assert {tuple(r) for r in got.collect()} == expected and calls.value == 3
+    assert got.filter("id < 0").count() == 0
+    assert featurize_batches(rows.limit(0), "text", lengths, ["size", "twice"]).count() == 0
+    # Without a mask every row stays; a field of another length or name is an error.
+    whole = featurize_batches(rows, "text", lambda t: ({"one": np.ones(len(t))}, None), ["one"])
+    assert whole.count() == rows.filter("text IS NOT NULL").count()
+    with pytest.raises(ValueError, match="text"):
+        featurize_batches(rows, "text", lengths, ["text"])
+    for wrong in ({"one": np.ones(1)}, {"two": np.ones(1)}):
+        with pytest.raises(PySparkException):
+            featurize_batches(rows, "text", lambda t: (wrong, None), ["one"]).collect()
+
+
 def test_featurize_csv_drops_invalid_rows(spark, tmp_path):
     source = tmp_path / "raw.csv"
     source.write_text('canonical_smiles,id\nCCO,1\nc1ccccc1,2\nINVALID,3\n"",4\n')
@@ -241,6 +271,32 @@ def test_log_run(spark, tmp_path):
         ("b", "metric", "auc", "0.75")}
 
 
+def test_log_run_again_side_by_side_and_broken_off(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    log_run(spark, path, "a", {"numTrees": 10, "maxDepth": 3}, {"auc": 0.5})
+    log_run(spark, path, "a", {"numTrees": 20}, {"auc": 0.75})
+    table = spark.range(1).select(F.lit(0.25).alias("recall"), F.lit(1.0).alias("precision"))
+    for _ in range(2):
+        log_metrics_table(table, path, "a")
+    with ThreadPool(4) as pool:
+        pool.map(lambda i: log_run(spark, path, f"p{i % 2}", {"i": i, "j": i}), range(6))
+    log_run(spark, path, "none")
+    # A call of which only a part arrived: two of its three rows.
+    whole = str(tmp_path / "whole")
+    log_run(spark, whole, "a", {"numTrees": 30, "maxDepth": 9}, {"auc": 1.0})
+    written = spark.read.option("recursiveFileLookup", True).parquet(whole)
+    written.limit(2).write.parquet(f"{path}/broken")
+
+    runs = [tuple(r) for r in read_runs(spark, path).collect()]
+    assert {r for r in runs if r[0] == "a"} == {
+        ("a", "param", "numTrees", "20"), ("a", "metric", "auc", "0.75"),
+        ("a", "metric", "recall", "0.25"), ("a", "metric", "precision", "1.0")}
+    assert len(runs) == len(set(runs)) == 8
+    for run in ("p0", "p1"):
+        values = {r[3] for r in runs if r[0] == run}
+        assert len(values) == 1 and int(values.pop()) % 2 == int(run[1])
+
+
 def test_label_rules(spark):
     rows = spark.createDataFrame(
         [("999.9",), ("1000",), ("1e2",), ("bad",), (None,), ("NaN",)], "standard_value string")

@@ -233,6 +233,27 @@ def test_stratified_split_is_exact(spark, ratio):
         assert chosen == expected.setdefault("ids", chosen)
 
 
+@pytest.mark.parametrize("n, reads_wanted", [(150_000, 2), (40, 3)])
+def test_stratified_split_reads(spark, n, reads_wanted):
+    """A counting pass-through: once for the cuts, once for the flags; a few rows once more."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = spark.range(n).select("id", F.lit("x").alias("label")).repartition(4)
+    out = stratified_split(source.mapInPandas(count, source.schema))
+    hashes = F.md5(F.concat(F.lit("42:"), F.col("id").cast("string")))
+    cut = source.select(hashes.alias("h")).orderBy("h").limit(n // 5).agg(F.max("h")).first()[0]
+    assert out.filter(F.col("is_test") != (hashes <= F.lit(cut))).isEmpty()
+    assert out.filter("is_test").count() == n // 5
+    before = reads.value
+    stratified_split(source.mapInPandas(count, source.schema)).agg(F.sum(F.col("is_test").cast("int"))).collect()
+    assert reads.value - before == reads_wanted * n
+
+
 def test_stratified_split_with_equal_keys(spark):
     rows = spark.range(1000).select((F.col("id") % 10).alias("id"), F.lit(1).alias("label"))
     sides = stratified_split(rows).groupBy("id").agg(F.count_distinct("is_test").alias("n"))
