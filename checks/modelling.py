@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from tabstride.functions import TEXT_DESCRIPTORS, text_descriptors
 from tabstride.operators import forest as RF
 from tabstride.operators import net as N
 from tabstride.operators.columns import positive_prob
-from tabstride.operators.featurize import featurize, python_kernel
+from tabstride.operators.featurize import featurize, featurize_batches, python_kernel
 from tabstride.operators.scaling import (
     apply_fitted,
     assemble,
@@ -39,6 +42,7 @@ from tabstride.plans import (
     evaluate_run,
     prepare,
     prepare_columns,
+    saved_error_report,
     score_batch,
     train_net,
 )
@@ -74,6 +78,18 @@ def featurized_python(spark, sf):
     return featurize(documents(spark, sf), "text", kernel).drop("text")
 
 
+def word_columns(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The same counts for a whole Arrow batch."""
+    counts = {f"n_{v}": pc.count_substring(texts, v).to_numpy() for v in "aeiou"}
+    return counts, sum(counts.values()) > 0
+
+
+def featurized_batches(spark, sf):
+    rows = featurize_batches(
+        documents(spark, sf), "text", word_columns, [f"n_{v}" for v in "aeiou"])
+    return rows.drop("text")
+
+
 def labelled_documents(spark, sf):
     """Descriptors of all documents, with the quality of the labelled ones, -1 for the rest."""
     texts = table(spark, sf, "documents").select("doc_id", "text")
@@ -172,6 +188,39 @@ def reloaded(spark, sf):
     )
 
 
+def saved_analysis(spark, sf):
+    """Error analysis of a saved forest: class sizes, and whether its tables agree."""
+    model, _ = forest(spark, sf)
+    path = scratch_path(spark, "forest")
+    save_forest(model, path)
+    tables = saved_error_report(path, prepared(spark, sf))
+    cells = {r["actual"]: r for r in tables["confusion_matrix"].collect()}
+    errors = tables["error_counts"].first()
+    area = tables["roc_auc"].first()["auc"]
+    agree = (errors["false_positives"] == cells[0]["predicted_1"]
+             and errors["false_negatives"] == cells[1]["predicted_0"] and 0 <= area <= 1)
+    return tables["confusion_matrix"].select(
+        "actual", (F.col("predicted_0") + F.col("predicted_1")).alias("n_rows"),
+        F.lit(agree).alias("tables_agree"))
+
+
+def searched_run(spark, sf):
+    """A small search run as a whole: all test rows, and whether its best setting is logged."""
+    train, test = parts(spark, sf)
+    model = RF.rf_cross_validate(
+        label_sample(train, MOST_SEARCHED), {"numTrees": [5, 10], "maxDepth": [2, 4]},
+        partitions=1, parallelism=8)
+    path = scratch_path(spark, "searched")
+    rows = evaluate_run(model, test, path, "search")
+    logged = {r["key"]: float(r["value"]) for r in read_runs(spark, f"{path}/runs").collect()
+              if r["key"] in ("numTrees", "maxDepth")}
+    top = _settings(model)[int(np.argmax(model.avgMetrics))][0]
+    kept = load_forest(f"{path}/model").getNumTrees == logged["numTrees"]
+    follows = F.col("custom_prediction") == (F.col("prob") >= 0.38).cast("int")
+    return rows.select("id", "label", follows.alias("decided"),
+                       F.lit(logged == top).alias("best_logged"), F.lit(kept).alias("best_kept"))
+
+
 def search(spark, sf):
     train, _ = parts(spark, sf)
     return RF.rf_cross_validate(
@@ -311,6 +360,7 @@ def prepared_scalars(spark, sf):
 QUERIES = {
     "featurize": featurized,
     "featurize_python": featurized_python,
+    "featurize_batches": featurized_batches,
     "text_descriptors": labelled_documents,
     "assemble": assembled,
     "assemble_skip": assembled_skip,
@@ -330,6 +380,8 @@ QUERIES = {
     "predict_forest": predictions,
     "save_load_model": reloaded,
     "evaluate": evaluated,
+    "evaluate_search": searched_run,
+    "error_analysis": saved_analysis,
     "mlp_fit": net_losses,
     "perceptron_fit": perceptron,
     "train_net": net_flow,
@@ -353,6 +405,9 @@ SELECT {keys}, length(text)::int AS n_chars,
 _FEATS = ", ".join(FEATURES)
 _VOWELS = ", ".join(f"(length(text) - length(replace(text, '{v}', '')))::double AS n_{v}"
                     for v in "aeiou")
+_VOWELS_SQL = (
+    f"SELECT * FROM (SELECT doc_id, lang, {_VOWELS} FROM documents) k WHERE n_a+n_e+n_i+n_o+n_u > 0"
+)
 
 
 def _scaler_sql(spread: str, prefix, source: str, where: str = "") -> str:
@@ -383,8 +438,8 @@ _SCORE = with_v1(
 ORACLES = {
     "featurize": _DESCRIBED.format(keys="doc_id, lang")
     + "FROM documents",
-    "featurize_python": f"SELECT * FROM (SELECT doc_id, lang, {_VOWELS} FROM documents) k "
-    "WHERE n_a+n_e+n_i+n_o+n_u > 0",
+    "featurize_python": _VOWELS_SQL,
+    "featurize_batches": _VOWELS_SQL,
     "text_descriptors": _DESCRIBED.format(keys="doc_id, coalesce(quality, -1)::int AS label")
     + "FROM documents LEFT JOIN labels USING (doc_id)",
     "assemble": with_v1(f"SELECT id, {_FEATS} FROM v1"),
@@ -421,6 +476,12 @@ ORACLES = {
     "evaluate": with_v1(
         "SELECT count(*) AS n_rows, 0.38::double AS threshold, true AS accuracy_agrees, "
         f"true AS weighted_f1_agrees, true AS auc_agrees FROM v1 WHERE NOT ({_TRAIN})"),
+    "evaluate_search": with_v1(
+        "SELECT id, CASE WHEN standard_value < 1000 THEN 1 ELSE 0 END AS label, true AS decided, "
+        f"true AS best_logged, true AS best_kept FROM v1 WHERE NOT ({_TRAIN})"),
+    "error_analysis": with_v1(
+        "SELECT CASE WHEN standard_value < 1000 THEN 1 ELSE 0 END AS actual, count(*) AS n_rows, "
+        f"true AS tables_agree FROM v1 WHERE NOT ({_TRAIN}) GROUP BY 1"),
     "mlp_fit": "SELECT 50 AS n_epochs, true AS loss_fell",
     "train_net": with_v1(
         "SELECT id, label, true AS decided, true AS logged_right FROM (SELECT id, label, "

@@ -1,4 +1,4 @@
-from tabstride.plans.evaluation import error_report, evaluate
+from tabstride.plans.evaluation import error_report, evaluate, saved_error_report
 from tabstride.plans.prepare import prepare, prepare_columns
 from tabstride.plans.profile_report import profile_report
 from tabstride.plans.scoring import score_batch
@@ -11,6 +11,7 @@ __all__ = [
     "prepare",
     "prepare_columns",
     "profile_report",
+    "saved_error_report",
     "score_batch",
     "train_net",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabstride.constants import FOREST_THRESHOLD, HALF_THRESHOLD, SEED
+from tabstride.constants import FOREST_THRESHOLD, HALF_THRESHOLD, SEED, TEST_RATIO
 from tabstride.operators.columns import apply_threshold, positive_prob
 from tabstride.operators.forest import predict_forest
 from tabstride.operators.metrics import (
@@ -24,8 +24,9 @@ from tabstride.operators.metrics import (
     sweep_f1,
     weighted_metrics,
 )
-from tabstride.operators.splits import sample_errors
+from tabstride.operators.splits import random_split, sample_errors
 from tabstride.session import materialize
+from tabstride.sources.artefacts import load_forest
 
 
 def decided(model, df: DataFrame, t: float = FOREST_THRESHOLD) -> DataFrame:
@@ -79,3 +80,23 @@ def error_report(
         "best_threshold": sweep_f1(outcomes, weight="copies"),
         "compare_thresholds": compare_thresholds(outcomes, thresholds, weight="copies"),
     }
+
+
+def saved_error_report(
+    path: str,
+    df: DataFrame,
+    key: str = "id",
+    test_ratio: float = TEST_RATIO,
+    seed: int = SEED,
+    **options,
+) -> dict[str, DataFrame]:
+    """``error_report`` of a saved forest on the test part of the prepared rows it was fitted from.
+
+    With the key, ratio and seed of the training, the split gives the same test part.  The
+    forest scores these rows once; ``prediction`` is its own class.
+    """
+    _, test = random_split(df, key, test_ratio, seed)
+    scored = positive_prob(predict_forest(load_forest(path), test), "prob").select(
+        key, "label", "prob", F.col("prediction").cast("int").alias("prediction")
+    )
+    return error_report(materialize(scored), key, seed=seed, **options)
