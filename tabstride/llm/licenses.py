@@ -192,7 +192,8 @@ def scan(
     array of ``label, start`` for all base phrases.  ``score`` is 1 with a base phrase, else
     the largest share of a template's rare words in one alignment.  A template gives its label
     when that share is at least ``least_share`` and its key phrase stands in the alignment.  A
-    null or empty text has no word and no label; other columns are not read.
+    null or empty text has no word and no label, very long ones are read whole, repeated rows
+    get equal answers, an empty table gives an empty result; other columns are not read.
     """
     index = list(build_index() if index is None else index)
     vocabulary = sorted({w for t in index for w, _ in t.rare})

@@ -31,7 +31,8 @@ RULES = (
     (BLOCK, "net/fr/"),
 )
 
-# Words in hosts that mark a URL as unwanted when no other labels are given: fixed values.
+# Words in hosts that mark a URL as unwanted when no other labels are given: fixed values.  They
+# stand in for labelled URLs, which the given tables lack.
 SEED_WORDS = ("adult", "bets", "casino", "pills", "spam", "track")
 
 FEATURES = (
@@ -195,7 +196,8 @@ def judge(
     ``labels`` has a URL column of the same name and ``label`` (1 unwanted, 0 wanted); without
     it the hosts of ``df`` are labelled by ``SEED_WORDS``.  A URL without a host has only
     features of its own text.  If no model can be fitted, what no rule decides is allowed.
-    Repeated rows get equal answers; other columns are not read.
+    Repeated rows get equal answers, and URLs of any length are read whole; other columns are
+    not read.  An empty table gives an empty result.
     """
     parts = _parts(df.select(id_col, url_col), url_col)
     statistics = _suffix_statistics(parts)

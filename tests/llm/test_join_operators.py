@@ -192,6 +192,40 @@ def test_url_trees_on_held_out_urls(spark):
     assert right > 0.95
 
 
+@pytest.mark.parametrize("word", ["casino", "pills"])
+def test_url_trees_on_a_held_out_host_family(spark, word):
+    """Seed labels of the given pages without one family and a quarter of the other hosts."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    host = urls.host_and_path(F.col("url"))[0]
+    unwanted = urls.seed_label(host) == 1
+    apart = F.pmod(F.xxhash64(host, F.lit(word)), F.lit(4)) == 0
+    held = F.when(unwanted, host.contains(word)).otherwise(apart)
+    rest = [w for w in urls.SEED_WORDS if w != word]
+    seen = pages.filter(~held).select("url", urls.seed_label(host, rest).alias("label"))
+    got = urls.judge(pages.filter(held), labels=seen, rules=()).join(pages, "page_id")
+    counts = got.agg(
+        F.count_if(unwanted).alias("bad"),
+        F.count_if(~unwanted).alias("good"),
+        F.count_if(unwanted & (F.col("verdict") == "block")).alias("caught"),
+        F.count_if(~unwanted & (F.col("verdict") == "block")).alias("wrong"),
+    ).first()
+    assert counts["bad"] >= 10 and counts["good"] >= 100
+    assert counts["caught"] >= 0.9 * counts["bad"]
+    assert counts["wrong"] <= 0.1 * counts["caught"]
+
+
+def test_url_rows_that_repeat_and_long_urls(spark):
+    long = "http://a.net/es/" + "x/" * 20_000
+    rows = [(1, long, 0), (1, long, 0), (2, None, 1), (None, "http://b.org/", 2), (3, "", 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, path int")
+    got = urls.judge(df)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+    found = sorted([(r.page_id or 0, r.host, len(r.path), r.rule, r.verdict) for r in got.collect()])
+    assert found == [
+        (0, "b.org", 1, None, "allow"), (1, "a.net", 40_004, "net/es/", "block"),
+        (1, "a.net", 40_004, "net/es/", "block"), (2, "", 0, None, "allow"), (3, "", 0, None, "allow")]
+
+
 def test_leaf_blocks():
     page = ("<!doctype html><head><title>no</title><style>p{}</style></head><body><!-- a <p>b</p> --><script>x='</p>'</script>"
             "<p>One &amp; two<p>three<b>four</b> five<br>six &lt;i&gt; 1 < 2<div class='Ad box'>seven <a href=x>link</a></div>"

@@ -432,6 +432,25 @@ def test_packing_places_every_id_once(spark, rules):
     assert packing.pack(df.filter("false"), PATH).count() == 0
 
 
+def test_packing_of_repeated_rows(spark):
+    text = "one two three four five " * 9
+    rows = [(7, text, "s", 1)] * 40 + [(7, "other", "s", 1), (8, text, None, 2), (None, text, "s", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, start int")
+    rules = packing.Packing(window=64, task_chars=1500)
+    found = packing.pack(df, PATH, locality=["source"], rules=rules, with_ids=False).collect()
+    library = tokenizers.Tokenizer.from_file(PATH)
+    size = lambda t: len(library.encode(t, add_special_tokens=False).ids) + 1
+    held = Counter()
+    for r in found:
+        held[r.doc_id] += r.length
+    assert held == {7: 40 * size(text) + size("other"), 8: size(text), None: size(text)}
+    starts = Counter((r.doc_id, r.start) for r in found)
+    assert starts[7, 0] == 41 and starts[8, 0] == starts[None, 0] == 1
+    places = sorted((r.sequence_id, r.offset, r.length) for r in found)
+    for (s, o, n), (t, p, _) in zip(places, places[1:]):
+        assert p == (o + n if s == t else 0) and o + n <= 64
+
+
 def test_packing_puts_like_documents_together():
     topics = [[f"t{t}x{i}" for i in range(40)] for t in range(4)]
     draw = np.random.default_rng(1)
