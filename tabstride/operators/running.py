@@ -25,11 +25,19 @@ def running_totals(
 
     The input is stored once, counted and split into ordered ranges of about
     ``single_task_rows`` rows; each range is summed on its own and shifted by the total of the
-    ranges before it, so no task ever holds more than about one range.  A small table is the
-    case of one range.  Rows should be unique in ``(keys, order)``: group them first.
+    ranges before it, so no task ever holds more than about one range.  A single range has
+    nothing before it and is summed as it is stored.  Rows should be unique in
+    ``(keys, order)``: group them first.
     """
     stored = materialize(df)
     ranges = max(1, ceil(stored.count() / single_task_rows))
+    if ranges == 1:
+        running = (
+            Window.partitionBy(*keys)
+            .orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return stored.select("*", *[F.sum(s).over(running).alias(f"cum_{s}") for s in sums])
     # The range number is stored with the row, so both reads below agree on it.
     ranged = materialize(
         stored.repartitionByRange(
