@@ -392,3 +392,11 @@ def test_all_histograms_in_one_read(spark):
         one = P.histogram(source, c, *[bins[c][0]], extent=bins[c][1:], keep_empty=False).collect()
         got = {(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in rows if r["column"] == c}
         assert got == {(r["bin"], r["bin_start"], r["bin_end"], r["n"]) for r in one}
+
+
+def test_describe_leaves_out_columns_without_values(spark):
+    rows = spark.createDataFrame(
+        [(1.0, None, math.nan), (3.0, None, None)], "x double, void double, nan double")
+    got = P.describe_numeric(rows, ["x", "void", "nan"]).collect()
+    assert [(r["column"], r["count"], r["q50"]) for r in got] == [("x", 2, 2.0)]
+    assert P.describe_numeric(rows.filter("x < 0"), ["x", "void"]).count() == 0
