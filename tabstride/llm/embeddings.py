@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabstride.llm.components import connected_components, stored
+from tabstride.llm.components import connected_components, join_classes, stored, with_least
 from tabstride.session import broadcast_if_small
 
 
@@ -216,18 +216,21 @@ def near_vectors(
     )
     members = connected_components(found).select(F.col("node").alias("class"), "component")
     labelled = stored(members.join(classes.select("class", "least"), "class"), "vector_members")
-    smallest = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
+    parts = max(1, math.isqrt(labelled.count()))
+    smallest = with_least(labelled, "component", "least", "smallest", parts)
     counts = found.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
-    answer = (
+    answer = stored(
         classes.select("class", "least", "copies")
         .join(counts, "class", "left")
-        .join(labelled.join(smallest, "component").select("class", "smallest"), "class", "left")
+        .join(smallest.select("class", "smallest"), "class", "left")
         .select(
             "class", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-            F.coalesce("smallest", "least").alias("component_id"),
-        )
+            F.coalesce("smallest", "least").alias("component_id"), "copies",
+        ),
+        "vector_verdicts",
     )
-    joined = usable.select("id", "class").join(answer, "class")
+    rows = classes.agg(F.sum("copies")).first()[0]
+    joined = join_classes(usable.select("id", "class"), answer, "copies", rows)
     return joined.select(
         F.col("id").alias(id_col), "n_links", "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),

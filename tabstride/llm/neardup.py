@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabstride.llm.components import connected_components, stored
+from tabstride.llm.components import connected_components, join_classes, stored, with_least
 from tabstride.llm.hashing import release_memory, runs, text_slices, words
 from tabstride.session import broadcast_if_small
 
@@ -273,15 +273,17 @@ def near_duplicates(
     links = stored(_links(groups, sets, rules), "links")
     members = connected_components(links).select(F.col("node").alias("class"), "component")
     labelled = stored(members.join(classes.select("class", "least"), "class"), "members")
-    smallest = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
-    cluster = labelled.join(smallest, "component").select("class", "smallest")
-    answer = (
-        classes.select("class", "least", "n").join(cluster, "class", "left")
+    parts = max(1, math.isqrt(labelled.count()))
+    cluster = with_least(labelled, "component", "least", "smallest", parts).select("class", "smallest")
+    answer = stored(
+        classes.select("class", "least", "n", "copies").join(cluster, "class", "left")
         .select("class", F.coalesce("smallest", "least").alias("component_id"),
-                (F.col("n") == 0).alias("empty"))
+                (F.col("n") == 0).alias("empty"), "copies"),
+        "verdicts",
     )
     own = F.when(F.col("empty"), F.col("id")).otherwise(F.col("component_id"))
-    return rows.select("id", "n", "class").join(answer, "class").select(
+    joined = join_classes(rows.select("id", "n", "class"), answer, "copies", rows.count())
+    return joined.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"),
         F.col("id").eqNullSafe(own).alias("kept"),
     )

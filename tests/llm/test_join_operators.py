@@ -3,7 +3,7 @@
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from test_text_operators import PATH, _plain_quality, check_whole
 from tabstride.llm import embeddings, html, licenses, neardup, quotes, urls
-from tabstride.llm.components import connected_components
+from tabstride.llm.components import connected_components, join_classes, with_least
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -46,6 +46,32 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_hub_and_of_names(spark):
+    hub = [("n0000", f"n{i:04}") for i in range(1, 2000)] + [("n1999", "z1"), ("z1", "z0"), ("y1", "y0")]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(hub, "a string, b string")).collect()}
+    assert got == {x: "y0" if x[0] == "y" else "n0000" for link in hub for x in link}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_least_of_a_frequent_key(spark, parts):
+    rows = [("often" if i % 10 < 7 else f"k{i}", 1000 - i) for i in range(600)]
+    rows += [("often", None), ("nulls", None), (None, 5), ("often", 999)]
+    got = with_least(spark.createDataFrame(rows, "k string, v int"), "k", "v", "m", parts).collect()
+    least = {}
+    for k, v in rows:
+        least[k] = min([x for x in (least.get(k), v) if x is not None], default=None)
+    assert Counter((r.k, r.v, r.m) for r in got) == Counter((k, v, least[k]) for k, v in rows if k is not None)
+
+
+@pytest.mark.parametrize("hot", [2, 5, 10_000])
+def test_rows_of_frequent_classes_are_joined_once(spark, hot):
+    rows = [(i, "a" if i < 50 else "b" if i < 80 else f"c{i}") for i in range(100)] + [(3, "a")]
+    copies = Counter(c for _, c in rows)
+    classes = spark.createDataFrame([(c, n, n * 7) for c, n in copies.items()], "class string, copies long, x long")
+    got = join_classes(spark.createDataFrame(rows, "id long, class string"), classes, "copies", len(rows), hot)
+    assert sorted((r.id, r["class"], r.x) for r in got.collect()) == sorted((i, c, copies[c] * 7) for i, c in rows)
+
+
 def _shingles(text, size):
     words = WORD.findall((text or "").lower())
     if len(words) < size:
