@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 from math import ceil
 
 import numpy as np
@@ -27,7 +28,15 @@ from tabstride.functions import column_value, named, sigmoid
 
 # Rows of a lane, and of a task that trains several lanes, unless given.
 LANE_ROWS = 4096
-TASK_ROWS = 100_000
+TASK_ROWS = 500_000
+# Bytes of a stored run of rows; lanes, and bytes, that a task holds and trains side by side.
+PACK_BYTES = 16_384
+GROUP_LANES = 32
+GROUP_BYTES = 16_000_000
+# Rows per lane that are laid out for training at a time.
+WINDOW_ROWS = 256
+# Tasks that sum the results of an epoch.
+SUM_TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -185,66 +194,196 @@ def _unflatten(flat: np.ndarray, like) -> tuple:
     return tuple(pairs)
 
 
-class _Lane:
-    """One epoch of Adam over the rows of a lane, in batches of ``batch_size``."""
+class _Lanes:
+    """One epoch of Adam over lanes side by side, each in batches of ``batch_size`` of its own rows.
 
-    def __init__(self, layers, moments, step: int, rate: float, batch_size: int):
-        self.layers, self.flat = layers, _flatten(layers)
-        self.first, self.second = moments
-        self.start = self.step = step
+    Every lane has its own weights and moments; a step multiplies small matrices lane by lane in
+    one numpy call.  A layer is one matrix here, the bias its last column, and moments are kept
+    divided by one minus their decay rate.
+    """
+
+    # Adam decay rates and guard: fixed values.
+    DECAY = 0.9, 0.999
+    TINY = 1e-8
+
+    def __init__(self, layers, moments, step: int, rate: float, batch_size: int, lanes: int):
+        self.like = layers
+        self.shapes = [(len(b), w.shape[1] + 1) for w, b in layers]
+        self.ends = np.cumsum([0, *(o * i for o, i in self.shapes)])
+        start = [self._joined(v) for v in (_flatten(layers), *moments)]
+        for i, decay in enumerate(self.DECAY, 1):
+            start[i] = start[i] / (1 - decay)
+        self.flat, self.first, self.second = (np.repeat(v[None], lanes, axis=0) for v in start)
+        self.step = step
         self.rate, self.batch_size = rate, batch_size
-        self.loss, self.seen = 0.0, 0
-        self.rest: np.ndarray | None = None
+        self.seen, self.steps, self.loss = np.zeros(lanes), np.zeros(lanes), 0.0
+
+    def _joined(self, flat: np.ndarray) -> np.ndarray:
+        pairs = _unflatten(flat, self.like)
+        return np.concatenate([np.column_stack([w, b]).ravel() for w, b in pairs])
+
+    def _parted(self, joined: np.ndarray) -> np.ndarray:
+        return _flatten([(m[0, :, :-1], m[0, :, -1]) for m in self._matrices(joined[None])])
 
-    def add(self, rows: np.ndarray, last: bool = False) -> None:
-        """Features and label of the next rows; what does not fill a batch waits for more."""
-        rows = rows if self.rest is None else np.concatenate([self.rest, rows])
+    def _matrices(self, flat: np.ndarray) -> list[np.ndarray]:
+        return [
+            flat[:, at:to].reshape(len(flat), *shape)
+            for at, to, shape in zip(self.ends[:-1], self.ends[1:], self.shapes)
+        ]
+
+    def learn(self, rows: Sequence[np.ndarray]) -> None:
+        """Features and label of all rows of each lane, or of the next whole batches of a single one."""
         size = self.batch_size
-        whole = len(rows) if last else len(rows) - len(rows) % size
-        for at in range(0, whole, size):
-            self._learn(rows[at : min(at + size, whole)])
-        self.rest = rows[whole:]
-
-    def _learn(self, rows: np.ndarray) -> None:
-        # Adam decay rates and guard: fixed values.
-        beta1, beta2, tiny = 0.9, 0.999, 1e-8
-        sums = _gradient(self.layers, rows[:, :-1], rows[:, -1])
-        gradient = sums[:-1] / len(rows)
+        order = np.argsort([-len(r) for r in rows], kind="stable")
+        rows = [rows[i] for i in order]
+        state = [v[order] for v in (self.flat, self.first, self.second)]
+        counts = np.array([len(r) for r in rows])
+        steps = -(-counts // size)
+        window = max(1, WINDOW_ROWS // size)
+        for at in range(0, steps[0], window):
+            # Longest lanes first, so those that still have rows lead.
+            live = int(np.count_nonzero(steps > at))
+            width = rows[0].shape[1]
+            x = np.zeros((live, width, min(window, steps[0] - at) * size))
+            y = np.zeros((live, 1, x.shape[2]))
+            for i in range(live):
+                part = rows[i][at * size : (at + window) * size]
+                x[i, :-1, : len(part)] = part[:, :-1].T
+                y[i, 0, : len(part)] = part[:, -1]
+            x[:, -1] = 1.0
+            for n in range(at, min(at + window, steps[0])):
+                here = int(np.count_nonzero(steps > n))
+                piece = slice((n - at) * size, (n - at + 1) * size)
+                left = np.minimum(counts[:here] - n * size, size)
+                self._step([v[:here] for v in state], x[:here, :, piece], y[:here, :, piece], left)
+        for v, of in zip((self.flat, self.first, self.second), state):
+            v[order] = of
+        self.seen[order] += counts
+        self.steps[order] += steps
+
+    def _step(self, state, x: np.ndarray, y: np.ndarray, left: np.ndarray) -> None:
+        """One batch of every lane; ``left`` rows of it are there, the others are padding."""
+        flat, first, second = state
+        layers = self._matrices(flat)
+        seen = [x]
+        for w in layers[:-1]:
+            units = np.empty((len(x), w.shape[1] + 1, x.shape[2]))
+            units[:, -1] = 1.0
+            np.matmul(w, seen[-1], out=units[:, :-1])
+            np.maximum(units[:, :-1], 0.0, out=units[:, :-1])
+            seen.append(units)
+        z = np.matmul(layers[-1], seen[-1])
+        delta = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y
+        loss = np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0.0) - z * y
+        if (left < self.batch_size).any():
+            there = (np.arange(self.batch_size) < left[:, None])[:, None]
+            delta, loss = np.where(there, delta, 0.0), np.where(there, loss, 0.0)
+        self.loss += loss.sum()
+        delta /= left[:, None, None]
+        gradient = np.empty(flat.shape)
+        parts = self._matrices(gradient)
+        for n in range(len(layers) - 1, -1, -1):
+            np.matmul(delta, seen[n].transpose(0, 2, 1), out=parts[n])
+            if n:
+                delta = np.matmul(layers[n][:, :, :-1].transpose(0, 2, 1), delta)
+                delta *= seen[n][:, :-1] > 0
+        beta1, beta2 = self.DECAY
         self.step += 1
-        self.first = beta1 * self.first + (1 - beta1) * gradient
-        self.second = beta2 * self.second + (1 - beta2) * gradient**2
-        drift = self.first / (1 - beta1**self.step)
-        self.flat = self.flat - self.rate * drift / (np.sqrt(self.second / (1 - beta2**self.step)) + tiny)
-        self.layers = _unflatten(self.flat, self.layers)
-        self.loss, self.seen = self.loss + sums[-1], self.seen + len(rows)
+        first *= beta1
+        first += gradient
+        second *= beta2
+        second += np.multiply(gradient, gradient, out=gradient)
+        spread = np.sqrt((1 - beta2) / (1 - beta2**self.step))
+        change = np.sqrt(second, out=gradient)
+        change += self.TINY / spread
+        np.divide(first, change, out=change)
+        change *= self.rate * (1 - beta1) / (1 - beta1**self.step) / spread
+        flat -= change
 
     def result(self) -> np.ndarray:
-        """Weights and moments times rows, then loss sum, rows, steps and one lane."""
-        self.add(self.rest[:0], last=True)
-        parts = [self.seen * v for v in (self.flat, self.first, self.second)]
-        return np.concatenate([*parts, [self.loss, self.seen, self.step - self.start, 1]])
+        """Weights and moments times rows, then loss sum, rows, steps and lanes."""
+        sums = [self._parted(self.seen @ v) for v in (self.flat, self.first, self.second)]
+        for i, decay in enumerate(self.DECAY, 1):
+            sums[i] *= 1 - decay
+        return np.concatenate(
+            [*sums, [self.loss, self.seen.sum(), self.steps.sum(), np.count_nonzero(self.seen)]]
+        )
 
 
-def _lane_epochs(layers, moments, step: int, rate: float, batch_size: int):
-    """Task function: every lane of the task starts at the common weights; results are summed."""
+def _packed(width: int):
+    """Task function: the rows of a lane as runs of doubles, so that an epoch reads few rows."""
+    most = max(1, PACK_BYTES // (8 * width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(3 * len(moments[0]) + 4)
-        lane, number = None, None
         for batch in batches:
-            lanes = batch.column("_lane").to_numpy()
+            lanes = batch.column(0).to_numpy()
             rows = np.column_stack(
                 [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
             ).astype(float)
-            edges = [0, *(np.flatnonzero(np.diff(lanes)) + 1).tolist(), len(lanes)]
-            for at, to in zip(edges[:-1], edges[1:]):
-                if at == to:
-                    continue
-                if lane is None or lanes[at] != number:
-                    total += lane.result() if lane else 0
-                    lane, number = _Lane(layers, moments, step, rate, batch_size), lanes[at]
-                lane.add(rows[at:to])
-        total += lane.result() if lane else 0
+            number, data = [], []
+            for at, to in _runs(lanes):
+                for i in range(at, to, most):
+                    number.append(lanes[at])
+                    data.append(rows[i : min(i + most, to)].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int32()), pa.array(data, pa.binary())], ["lane", "data"]
+            )
+
+    return run
+
+
+def _runs(lanes: np.ndarray) -> list[tuple[int, int]]:
+    edges = [0, *(np.flatnonzero(np.diff(lanes)) + 1).tolist(), len(lanes)]
+    return [(at, to) for at, to in zip(edges[:-1], edges[1:]) if at < to]
+
+
+def _lane_epochs(layers, moments, step: int, rate: float, batch_size: int):
+    """Task function: every lane of the task starts at the common weights; results are summed.
+
+    Lanes are trained side by side, so many at a time as ``GROUP_LANES`` and ``GROUP_BYTES``
+    allow; a lane larger than that is trained alone, piece by piece.
+    """
+    width = layers[0][0].shape[1] + 1
+
+    def fresh(lanes: int) -> _Lanes:
+        return _Lanes(layers, moments, step, rate, batch_size, lanes)
+
+    def together(lanes: list[np.ndarray]) -> np.ndarray:
+        group = fresh(len(lanes))
+        group.learn(lanes)
+        return group.result()
+
+    def lanes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        for batch in batches:
+            lanes, data = batch.column("lane").to_numpy(), batch.column("data")
+            for at, to in _runs(lanes):
+                for i in range(at, to):
+                    yield int(lanes[at]), np.frombuffer(data[i].as_buffer()).reshape(-1, width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(3 * len(moments[0]) + 4)
+        held: list[np.ndarray] = []
+        for _, pieces in groupby(lanes_of(batches), key=lambda piece: piece[0]):
+            alone, some = None, []
+            for _, rows in pieces:
+                some.append(rows)
+                if sum(map(len, some)) * 8 * width > GROUP_BYTES:
+                    rows = np.concatenate(some)
+                    whole = len(rows) - len(rows) % batch_size
+                    if whole:
+                        alone = alone or fresh(1)
+                        alone.learn([rows[:whole]])
+                    some = [rows[whole:]]
+            if alone:
+                if sum(map(len, some)):
+                    alone.learn([np.concatenate(some)])
+                total += alone.result()
+                continue
+            held.append(np.concatenate(some))
+            if len(held) == GROUP_LANES or sum(map(len, held)) * 8 * width > GROUP_BYTES:
+                total += together(held)
+                held = []
+        total += together(held) if held else 0
         slots = np.arange(len(total), dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total)], ["slot", "total"])
 
@@ -269,7 +408,8 @@ def mlp_fit(
     Rows are dealt by a hash of the key into ``lanes`` and ordered by it.  In an epoch every
     lane takes its rows once in batches of ``batch_size`` from the common weights on; then
     weights and moments are averaged, over the lanes of a task and over tasks, each lane
-    counting by its rows.  One pass and one small result per task and epoch.
+    counting by its rows.  One pass and one small result per task and epoch; a task trains its
+    lanes side by side, and reads rows packed into runs.
 
     ``lanes`` belongs to the model like the seed.  Unless given it follows from the number of
     rows, ``LANE_ROWS`` to a lane, so lanes stay small and their number grows.  Files and
@@ -296,6 +436,7 @@ def mlp_fit(
         .repartition(partitions, "_lane")
         .sortWithinPartitions("_lane", "_hash", "_key")
         .select("_lane", *inputs, "label")
+        .mapInArrow(_packed(len(inputs) + 1), "lane int, data binary")
         .persist()
     )
     losses, step = [], 0
@@ -306,6 +447,7 @@ def mlp_fit(
                     _lane_epochs(layers, moments, step, learning_rate, batch_size),
                     "slot int, total double",
                 )
+                .repartition(SUM_TASKS, "slot")
                 .groupBy("slot")
                 .agg(F.sum("total").alias("total"))
             )

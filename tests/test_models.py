@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -260,3 +261,65 @@ def test_parts_and_lanes_grow_with_the_rows(rows, monkeypatch):
     monkeypatch.setattr(N, "_unflatten", lambda flat, like, real=N._unflatten: seen.append(1) or real(flat, like))
     N.mlp_fit(rows, NAMES, epochs=2)
     assert len(seen) == 2
+
+
+def _plain_adam(layers, rows, size, rate, step):
+    """Adam on one lane, batch by batch: weights, moments, loss and steps."""
+    flat = N._flatten(layers)
+    first, second, loss = np.zeros_like(flat), np.zeros_like(flat), 0.0
+    for at in range(0, len(rows), size):
+        batch = rows[at : at + size]
+        sums = N._gradient(N._unflatten(flat, layers), batch[:, :-1], batch[:, -1])
+        gradient, step, loss = sums[:-1] / len(batch), step + 1, loss + sums[-1]
+        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+        change = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        flat = flat - rate * change
+    return flat, first, second, loss, -(-len(rows) // size)
+
+
+@pytest.mark.parametrize("hidden", [(), (5,), (32, 16)])
+@pytest.mark.parametrize("group_bytes", [2_000, 16_000_000])
+def test_lanes_side_by_side_learn_as_alone(monkeypatch, hidden, group_bytes):
+    rng = np.random.default_rng(5)
+    layers = N.NetWeights.random([3, *hidden, 1], 2).layers
+    sizes = [100, 1, 64, 1500, 33, 8, 97]
+    lanes = [np.column_stack([rng.normal(size=(n, 3)), rng.integers(0, 2, n)]) for n in sizes]
+    zero = np.zeros(N._flatten(layers).size)
+    monkeypatch.setattr(N, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(N, "PACK_BYTES", 500)
+    calls = []
+    real = N._Lanes._step
+    monkeypatch.setattr(N._Lanes, "_step", lambda *given: calls.append(1) or real(*given))
+    table = pa.table({
+        "_lane": pa.array(np.repeat(np.arange(len(sizes)), sizes), pa.int32()),
+        **{f"x{i}": np.concatenate(lanes)[:, i] for i in range(4)},
+    })
+    packed = list(N._packed(4)(iter(table.to_batches(max_chunksize=70))))
+    assert sum(b.num_rows for b in packed) < sum(sizes) / 4
+    (out,) = N._lane_epochs(layers, (zero, zero), 3, 0.01, 32)(iter(packed))
+    alone = [_plain_adam(layers, rows, 32, 0.01, 3) for rows in lanes]
+    expected = [sum(n * a[i] for n, a in zip(sizes, alone)) for i in range(3)]
+    ends = [sum(a[3] for a in alone), sum(sizes), sum(a[4] for a in alone), len(sizes)]
+    np.testing.assert_allclose(out.column("total").to_numpy(), [*np.concatenate(expected), *ends], rtol=1e-9, atol=1e-9)
+    if group_bytes > 1_000_000:
+        assert len(calls) == max(a[4] for a in alone)
+
+
+def _joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+
+def test_net_query_joins_its_rows_once(spark, monkeypatch):
+    given = []
+
+    class Stop(Exception):
+        pass
+
+    def watched(rows, *args, **options):
+        given.append(rows)
+        raise Stop
+
+    monkeypatch.setattr(modelling, "train_net", watched)
+    with pytest.raises(Stop):
+        modelling.net_flow(spark, "/root/testdata/sf0.001")
+    assert _joins(given[0]) == 0 and given[0].columns == ["id", "label", *modelling.FEATURES]
