@@ -323,3 +323,19 @@ def test_net_query_joins_its_rows_once(spark, monkeypatch):
     with pytest.raises(Stop):
         modelling.net_flow(spark, "/root/testdata/sf0.001")
     assert _joins(given[0]) == 0 and given[0].columns == ["id", "label", *modelling.FEATURES]
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_prepared_rows_are_joined_once(spark):
+    """The queries of fits, searches, scores and error reports all read these rows."""
+    rows = modelling.prepared(spark, SMALL)
+    assert _joins(rows) == 0 and rows.columns == ["id", "features", "label"]
+
+
+def test_error_analysis_prepares_its_rows_once(spark, monkeypatch):
+    calls, real = [], modelling.prepare
+    monkeypatch.setattr(modelling, "prepare", lambda *a, **o: calls.append(1) or real(*a, **o))
+    assert modelling.saved_analysis(spark, SMALL).count() == 2
+    assert len(calls) == 1
