@@ -14,6 +14,7 @@ from tabstride.operators import net as N
 from tabstride.operators.columns import positive_prob
 from tabstride.operators.metrics import binary_metrics, roc_auc
 from tabstride.operators.scaling import FittedScaler, fit_scaler
+from tabstride.operators.splits import label_sample
 from tabstride.plans import error_report, evaluate, evaluate_run, prepare, score_batch, train_net
 from tabstride.plans import training
 from tabstride.sources.artefacts import load_forest, load_net, load_scaler, read_runs, save_forest
@@ -339,3 +340,17 @@ def test_error_analysis_prepares_its_rows_once(spark, monkeypatch):
     monkeypatch.setattr(modelling, "prepare", lambda *a, **o: calls.append(1) or real(*a, **o))
     assert modelling.saved_analysis(spark, SMALL).count() == 2
     assert len(calls) == 1
+
+
+def test_sample_to_fit_on_is_stored(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    watched = rows.withColumn("x0", F.udf(counted, "double").asNondeterministic()("x0"))
+    sample = label_sample(watched, 50)
+    for _ in range(3):
+        assert sample.count() == 50 and sample.agg(F.sum("x0")).first()[0] is not None
+    assert seen.value == rows.count()
