@@ -8,6 +8,7 @@ from functools import cache, partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabstride.functions import column_value
 from tabstride.operators.profile import (
     auto_bins_from,
     box_stats,
@@ -22,7 +23,7 @@ from tabstride.operators.profile import (
     share_by_category,
     value_counts,
 )
-from tabstride.session import materialize
+from tabstride.session import materialize, stored
 
 
 def profile_report(
@@ -35,19 +36,24 @@ def profile_report(
     """The tables of a profile by name; call one to compute it.
 
     The numeric summary covers all columns at once and also sets the histograms' bins, so
-    it is computed only once; one more read then counts the bins of all histograms.  Store
-    ``df`` first if it is costly.
+    it is computed only once; one more read then counts the bins of all histograms.  These
+    reads take the numeric columns from a copy that is stored once.  Store ``df`` first if it
+    is costly and other tables are wanted too.
     """
 
+    @cache
+    def numbers() -> DataFrame:
+        return stored(df.select(*[column_value(c).alias(c) for c in dict.fromkeys(numeric)]))
+
     @cache
     def summary() -> DataFrame:
-        return materialize(describe_numeric(df, numeric))
+        return materialize(describe_numeric(numbers(), numeric))
 
     @cache
     def all_bins() -> DataFrame:
         stats = {r["column"]: r for r in summary().collect()}  # one row per column
         bins = {c: (auto_bins_from(s), s["min"], s["max"]) for c, s in stats.items()}
-        return materialize(histograms(df, bins))
+        return materialize(histograms(numbers(), bins))
 
     def auto_histogram(c: str) -> DataFrame:
         return all_bins().filter(F.col("column") == c).drop("column")

@@ -400,3 +400,18 @@ def test_describe_leaves_out_columns_without_values(spark):
     got = P.describe_numeric(rows, ["x", "void", "nan"]).collect()
     assert [(r["column"], r["count"], r["q50"]) for r in got] == [("x", 2, 2.0)]
     assert P.describe_numeric(rows.filter("x < 0"), ["x", "void"]).count() == 0
+
+
+def test_profile_report_reads_the_table_once_for_all_histograms(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(300).select((F.col("id") % 37).cast("double").alias("v"))
+    watched = rows.withColumn("v", F.udf(counted, "double").asNondeterministic()("v"))
+    report = profile_report(watched, ["v"])
+    assert report["histogram.v"]().agg(F.sum("n")).first()[0] == 300
+    assert report["describe"]().first()["max"] == 36.0
+    assert seen.value == 300
