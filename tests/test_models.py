@@ -354,3 +354,10 @@ def test_sample_to_fit_on_is_stored(spark, rows):
     for _ in range(3):
         assert sample.count() == 50 and sample.agg(F.sum("x0")).first()[0] is not None
     assert seen.value == rows.count()
+
+
+def test_median_query_joins_its_rows_once(spark, monkeypatch):
+    given, real = [], modelling.impute
+    monkeypatch.setattr(modelling, "impute", lambda df, *a: given.append(df) or real(df, *a))
+    filled = modelling.imputed_median(spark, SMALL)
+    assert _joins(given[0]) == 0 and filled.filter("f3 IS NULL").isEmpty()
