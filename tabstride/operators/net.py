@@ -10,6 +10,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
@@ -26,11 +27,13 @@ from tabstride.constants import (
 )
 from tabstride.functions import column_value, named, sigmoid
 
-# Rows of a lane, and of a task that trains several lanes, unless given.
+# Rows of a lane, and of a task that trains several lanes, unless given.  A task's runs go to Python
+# as one Arrow batch, which is held several times outside the heap, so a task is small.
 LANE_ROWS = 4096
-TASK_ROWS = 500_000
-# Bytes of a stored run of rows; lanes, and bytes, that a task holds and trains side by side.
+TASK_ROWS = 131_072
+# Bytes of a run of rows before it is compressed; lanes, and bytes, that a task holds and trains side by side.
 PACK_BYTES = 16_384
+PACK_CODEC = "lz4"
 GROUP_LANES = 32
 GROUP_BYTES = 16_000_000
 # Rows per lane that are laid out for training at a time.
@@ -311,7 +314,7 @@ class _Lanes:
 
 
 def _packed(width: int):
-    """Task function: the rows of a lane as runs of doubles, so that an epoch reads few rows."""
+    """Task function: the rows of a lane as compressed runs of doubles, so that an epoch reads few rows."""
     most = max(1, PACK_BYTES // (8 * width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,13 +323,15 @@ def _packed(width: int):
             rows = np.column_stack(
                 [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
             ).astype(float)
-            number, data = [], []
+            number, size, data = [], [], []
             for at, to in _runs(lanes):
                 for i in range(at, to, most):
                     number.append(lanes[at])
-                    data.append(rows[i : min(i + most, to)].tobytes())
+                    size.append(min(most, to - i))
+                    data.append(pa.compress(rows[i : i + size[-1]].tobytes(), PACK_CODEC, asbytes=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(number, pa.int32()), pa.array(data, pa.binary())], ["lane", "data"]
+                [pa.array(number, pa.int32()), pa.array(size, pa.int32()), pa.array(data, pa.binary())],
+                ["lane", "size", "data"],
             )
 
     return run
@@ -355,10 +360,12 @@ def _lane_epochs(layers, moments, step: int, rate: float, batch_size: int):
 
     def lanes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
         for batch in batches:
-            lanes, data = batch.column("lane").to_numpy(), batch.column("data")
+            lanes, size, data = (batch.column(c) for c in ("lane", "size", "data"))
+            lanes, size = lanes.to_numpy(), (8 * width * size.to_numpy()).tolist()
             for at, to in _runs(lanes):
                 for i in range(at, to):
-                    yield int(lanes[at]), np.frombuffer(data[i].as_buffer()).reshape(-1, width)
+                    run = pa.decompress(data[i].as_buffer(), size[i], PACK_CODEC)
+                    yield int(lanes[at]), np.frombuffer(run).reshape(-1, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(3 * len(moments[0]) + 4)
@@ -436,8 +443,9 @@ def mlp_fit(
         .repartition(partitions, "_lane")
         .sortWithinPartitions("_lane", "_hash", "_key")
         .select("_lane", *inputs, "label")
-        .mapInArrow(_packed(len(inputs) + 1), "lane int, data binary")
-        .persist()
+        .mapInArrow(_packed(len(inputs) + 1), "lane int, size int, data binary")
+        # A pass reads every run once, so there is little to gain from a heap full of them.
+        .persist(StorageLevel.DISK_ONLY)
     )
     losses, step = [], 0
     try:

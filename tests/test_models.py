@@ -361,3 +361,32 @@ def test_median_query_joins_its_rows_once(spark, monkeypatch):
     monkeypatch.setattr(modelling, "impute", lambda df, *a: given.append(df) or real(df, *a))
     filled = modelling.imputed_median(spark, SMALL)
     assert _joins(given[0]) == 0 and filled.filter("f3 IS NULL").isEmpty()
+
+
+def test_net_rows_do_not_fill_the_memory(rows, monkeypatch):
+    """Tasks take few rows, as a task's runs go to Python as one batch, and the runs lie on disk."""
+    from pyspark import StorageLevel
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    kept, real = [], DataFrame.persist
+
+    def watched(df, *level):
+        kept.append((level, df.rdd.getNumPartitions()))
+        return real(df, *level)
+
+    monkeypatch.setattr(DataFrame, "persist", watched)
+    N.mlp_fit(rows, NAMES, epochs=1, lanes=16, partitions=2)
+    assert kept == [((StorageLevel.DISK_ONLY,), 2)]
+    assert N.TASK_ROWS * 8 * 8 < 10_000_000
+
+
+def test_runs_of_rows_are_compressed_without_loss():
+    rng = np.random.default_rng(3)
+    values = np.column_stack([rng.normal(size=900), np.full(900, np.pi), rng.integers(0, 2, 900)])
+    lanes = np.repeat([0, 4, 5], [500, 1, 399])
+    table = pa.table({"_lane": pa.array(lanes, pa.int32()), **{f"x{i}": values[:, i] for i in range(3)}})
+    (packed,) = N._packed(3)(iter(table.to_batches()))
+    sizes, data = packed.column("size").to_pylist(), packed.column("data").to_pylist()
+    assert sum(sizes) == 900 and sum(map(len, data)) < values.nbytes
+    back = [np.frombuffer(pa.decompress(d, 24 * n, N.PACK_CODEC)) for n, d in zip(sizes, data)]
+    np.testing.assert_array_equal(np.concatenate(back).reshape(-1, 3), values)
