@@ -14,7 +14,7 @@ from tabstride.operators import net as N
 from tabstride.operators.columns import positive_prob
 from tabstride.operators.metrics import binary_metrics, roc_auc
 from tabstride.operators.scaling import FittedScaler, fit_scaler
-from tabstride.operators.splits import label_sample
+from tabstride.operators.splits import label_sample, random_split
 from tabstride.plans import error_report, evaluate, evaluate_run, prepare, score_batch, train_net
 from tabstride.plans import training
 from tabstride.sources.artefacts import load_forest, load_net, load_scaler, read_runs, save_forest
@@ -390,3 +390,28 @@ def test_runs_of_rows_are_compressed_without_loss():
     assert sum(sizes) == 900 and sum(map(len, data)) < values.nbytes
     back = [np.frombuffer(pa.decompress(d, 24 * n, N.PACK_CODEC)) for n, d in zip(sizes, data)]
     np.testing.assert_array_equal(np.concatenate(back).reshape(-1, 3), values)
+
+
+@pytest.fixture
+def many_prepared(spark, monkeypatch):
+    """3,000 prepared rows in the place of those of the queries; their number in the train part."""
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame(rng.normal(size=(3000, 3)), columns=NAMES).assign(
+        id=[f"m{i}" for i in range(3000)], standard_value=rng.choice([10.0, 5000.0], 3000))
+    table = prepare(spark.createDataFrame(pdf), feats=NAMES).persist()
+    monkeypatch.setattr(modelling, "prepared", lambda *_: table)
+    yield random_split(table)[0].count()
+    table.unpersist()
+
+
+def _rows_given(monkeypatch, holder, name):
+    """Numbers of rows of the tables that a function is given from now on."""
+    seen, real = [], getattr(holder, name)
+    monkeypatch.setattr(holder, name, lambda df, *a, **o: seen.append(df.count()) or real(df, *a, **o))
+    return seen
+
+
+def test_perceptron_query_fits_on_all_train_rows(spark, monkeypatch, many_prepared):
+    seen = _rows_given(monkeypatch, N, "perceptron_fit")
+    assert modelling.perceptron(spark, "").count() == 3000 - many_prepared
+    assert seen == [many_prepared] and many_prepared > 2300
