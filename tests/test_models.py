@@ -415,3 +415,9 @@ def test_perceptron_query_fits_on_all_train_rows(spark, monkeypatch, many_prepar
     seen = _rows_given(monkeypatch, N, "perceptron_fit")
     assert modelling.perceptron(spark, "").count() == 3000 - many_prepared
     assert seen == [many_prepared] and many_prepared > 2300
+
+
+def test_forest_queries_fit_on_all_train_rows(spark, monkeypatch, many_prepared):
+    seen = _rows_given(monkeypatch, RF, "rf_fit")
+    assert modelling.predictions(spark, "").count() == 3000 - many_prepared
+    assert seen == [many_prepared] and many_prepared > 2300
