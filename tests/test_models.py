@@ -421,3 +421,24 @@ def test_forest_queries_fit_on_all_train_rows(spark, monkeypatch, many_prepared)
     seen = _rows_given(monkeypatch, RF, "rf_fit")
     assert modelling.predictions(spark, "").count() == 3000 - many_prepared
     assert seen == [many_prepared] and many_prepared > 2300
+
+
+def test_search_query_fits_on_all_train_rows(spark, monkeypatch, many_prepared):
+    seen, real = [], RF.rf_cross_validate
+
+    def small(df, **options):
+        seen.append((df.count(), options.get("partitions")))
+        return real(df, {"numTrees": [2], "maxDepth": [2]}, **options)
+
+    monkeypatch.setattr(RF, "rf_cross_validate", small)
+    assert len(modelling.search(spark, "").avgMetrics) == 1
+    assert seen == [(many_prepared, None)] and many_prepared > 2300
+
+
+def test_fewer_fits_at_a_time_on_many_parts(vectors, monkeypatch):
+    pools, real = [], RF.ThreadPool
+    monkeypatch.setattr(RF, "ThreadPool", lambda n: pools.append(n) or real(n))
+    grid = {"numTrees": [2], "maxDepth": [2]}
+    areas = [RF.rf_cross_validate(vectors, grid, folds=2, partitions=8, parallelism=n).avgMetrics for n in (1, 8)]
+    RF.rf_cross_validate(vectors, grid, folds=2, partitions=32, parallelism=8)
+    assert pools == [1, 8, 2] and areas[0] == areas[1]
